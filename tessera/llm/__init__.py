@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 #: One module per operator, in the order of their numbers.
-MODULES = ("language_id", "chat_tools", "decontaminate", "minmax_dedup", "span_dedup", "mjpeg", "licenses", "warc", "mixture")
+MODULES = ("language_id", "chat_tools", "decontaminate", "minmax_dedup", "span_dedup", "mjpeg", "licenses", "warc", "toxicity", "mixture")
 
 
 def queries() -> dict:
