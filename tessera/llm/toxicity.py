@@ -1,8 +1,8 @@
 """Toxicity scores from a counterfactually regularised linear classifier.
 
 A text's features are its different words and their beginnings of 3 to 6
-characters, hashed into ``BINS`` bins.  The features that tell the labels apart
-best (chi-square over the training rows, one partial aggregate) feed a logistic
+characters, hashed into ``BINS`` bins.  The features that speak for
+label 1 beyond chance (chi-square over the training rows, one partial aggregate) feed a logistic
 regression.  Labelled sentences are copied with their identity terms swapped for
 others of the same group, sentences without any get one inserted, and the squared
 difference of the scores of a sentence and its copies is added to the loss:
@@ -32,6 +32,8 @@ from tessera.llm.textkit import held_out, load, map_texts
 
 BINS = 1 << 22
 FEATURES = 4096
+#: Features below this chi-square are chance among so many candidates.
+CHI_SQUARE = 30.0
 TRAIN_ROWS = 20_000
 PAIR_ROWS = 2_000
 THRESHOLD = 0.3
@@ -158,9 +160,11 @@ def train(rows: DataFrame, id_col: str = "doc_id", text: str = "text", label: st
     if not n or pos in (0, n, None):
         return Linear(np.zeros(0, np.int64), np.zeros(0), float(np.log((positive + 1) / (total - positive + 1))))
     seen = binned.select("y", F.explode("bins").alias("bin")).groupBy("bin").agg(F.count("*").alias("d"), F.sum("y").alias("p")).where("d >= 3")
-    # Chi-square of the feature against the label, from the four counts.
-    chi = F.pow(F.col("p") * float(n) - F.col("d") * float(pos), 2) / (F.col("d") * (float(n) - F.col("d")) + 1e-9)
-    best = seen.where(F.col("d") < n).select("bin", chi.alias("chi")).orderBy(F.desc("chi"), "bin").limit(features).collect()
+    # Chi-square of the feature against the label, from the four counts; only features that speak for label 1 well beyond chance.
+    lead = F.col("p") * float(n) - F.col("d") * float(pos)
+    chi = float(n) * lead * lead / (F.col("d") * (float(n) - F.col("d")) * float(pos) * float(n - pos))
+    seen = seen.where(F.col("d") < n).withColumn("lead", lead).withColumn("chi", chi)
+    best = seen.where((F.col("lead") > 0) & (F.col("chi") >= CHI_SQUARE)).orderBy(F.desc("chi"), "bin").limit(features).select("bin").collect()
     identity = {b for g in groups for t in g for b in word_bins(t)}
     bins = sorted({r["bin"] for r in best} | identity)
     place = {b: i for i, b in enumerate(bins)}
