@@ -10,10 +10,12 @@ with probability (1 - 0.8^5)^40, about 1e-7.
 Equal sets are first folded into one representative.  Inside a bucket not all
 pairs are emitted: every member is compared with the bucket's hub (its smallest
 id), and members that the verified links already join need no further
-comparison.  Only buckets that still hold several components get further hubs,
-four times as many each round, until every bucket is one component or all its
-members have been hubs.  So no link between components is missed, and a large
-group of copies costs one comparison per member.
+comparison.  Of the buckets that still hold several components, those of up to
+``SMALL`` members compare the rest of their pairs; larger ones are united into
+groups by shared members, and the group's members outside its largest component
+are held against all of it block by block: a task gets two blocks of about
+``BLOCK`` sets and emits the confirmed links alone.  So no link between components
+is missed, and a large group of copies costs one comparison per member.
 
 Defined results: documents without words have an empty set, are linked with
 nothing and stay; rows with a null id are never linked (null component, kept);
@@ -25,6 +27,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
+import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,7 +41,9 @@ from tessera.session import discard, materialize
 PERMUTATIONS = 100
 ROWS = 5
 BANDS = 2 * PERMUTATIONS // ROWS
-_BLOCK = 4096
+#: Buckets of more members than this are compared in blocks of about so many sets.
+SMALL, BLOCK = 16, 256
+_COLUMNS = 4096
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -90,8 +95,8 @@ class MinMaxSigner:
         """All minima, then all maxima, of the permuted hashes."""
         low = np.full(len(self.mul), np.iinfo(np.uint64).max, np.uint64)
         high = np.zeros(len(self.mul), np.uint64)
-        for at in range(0, len(shingles), _BLOCK):
-            x = (shingles[None, at : at + _BLOCK] + self.add) * self.mul
+        for at in range(0, len(shingles), _COLUMNS):
+            x = (shingles[None, at : at + _COLUMNS] + self.add) * self.mul
             x ^= x >> np.uint64(32)
             low = np.minimum(low, x.min(axis=1))
             high = np.maximum(high, x.max(axis=1))
@@ -174,25 +179,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     edges = verified(first, sets, percent).union(_same_id(linkable, reps))
     edges = materialize(edges, "links", keep)
     component = connected_components(edges, "a", "b")
-    done, more = 1, 4
-    size_ok = F.lit(percent) * F.greatest("na", "nb") <= 100 * F.least("na", "nb")
-    while True:
-        labelled = members.join(component.select(F.col("id").alias("rep"), "component"), "rep", "left")
-        labelled = labelled.withColumn("component", F.coalesce("component", "rep"))
-        open_ = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("m"))
-        open_ = open_.where(f"lo < hi and m > {done + 1}").select("key")
-        ranked = labelled.join(open_, "key").withColumn("at", F.row_number().over(W.partitionBy("key").orderBy("rep")))
-        ranked = materialize(ranked.where(f"at > {done}"), "mixed", keep)
-        if ranked.isEmpty():
-            break
-        hubs = ranked.where(f"at <= {done + more}").select("key", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), F.col("at").alias("bt"))
-        rest = ranked.select("key", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), "at")
-        pairs = rest.join(hubs, "key").where((F.col("at") > F.col("bt")) & (F.col("ca") != F.col("cb")) & size_ok).select("a", "b").distinct()
-        found = materialize(verified(pairs, sets, percent), "links", keep)
-        if not found.isEmpty():
-            edges = edges.union(found)
-            component = connected_components(edges, "a", "b")
-        done, more = done + more, more * 4
+    labelled = members.join(component.select(F.col("id").alias("rep"), "component"), "rep", "left")
+    labelled = materialize(labelled.withColumn("component", F.coalesce("component", "rep")), "labelled", keep)
+    open_ = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("m")).where("lo < hi and m > 2").select("key", "m")
+    rest = materialize(labelled.join(open_, "key"), "open", keep)
+    found = verified(_small_pairs(rest.where(F.col("m") <= SMALL), percent), sets, percent)
+    if not (large := rest.where(F.col("m") > SMALL)).isEmpty():
+        found = found.union(_block_links(large, sets, percent, keep))
+    found = materialize(found, "links", keep)
+    if not found.isEmpty():
+        component = connected_components(edges.union(found), "a", "b")
 
     labels = component.select(F.col("id").alias("rep"), F.col("component").alias("c"))
     classes = reps.select("set_a", "set_b", "rep").join(labels, "rep", "left").select("set_a", "set_b", F.coalesce("c", "rep").alias("component_id"))
@@ -203,6 +199,63 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     return linked.union(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def _small_pairs(rest: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components in buckets of at most SMALL members; those with the hub are known already."""
+    size_ok = F.lit(percent) * F.greatest("na", "nb") <= 100 * F.least("na", "nb")
+    side = rest.where("rep <> hub")
+    left = side.select("key", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
+    right = side.select("key", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
+    return left.join(right, "key").where((F.col("a") > F.col("b")) & (F.col("ca") != F.col("cb")) & size_ok).select("a", "b").distinct()
+
+
+def _block_links(large: DataFrame, sets: DataFrame, percent: int, keep: list[str]) -> DataFrame:
+    """Links between different components of groups of members that share large buckets."""
+    group = connected_components(large.where("rep <> hub").select(F.col("rep").alias("src"), F.col("hub").alias("dst"))).withColumnRenamed("component", "grp")
+    inside = large.select("rep", "component").distinct().join(group.withColumnRenamed("id", "rep"), "rep")
+    inside = materialize(inside, "groups", keep)
+    counts = inside.groupBy("grp", "component").agg(F.count("*").alias("n"))
+    main = counts.groupBy("grp").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("all"), F.count("*").alias("parts")).where("parts > 1")
+    blocks = lambda n: F.greatest(F.lit(1), F.ceil(n / BLOCK)).cast("int")
+    main = main.select("grp", F.col("top.component").alias("main"), blocks(F.col("top.n")).alias("nm"), blocks(F.col("all") - F.col("top.n")).alias("no"))
+    rows = inside.join(main, "grp").withColumn("h", F.xxhash64("rep"))
+    # Block pairs are (outer block i, outer block j >= i) and (outer block i, main block j, numbered from -1 down).
+    own = F.pmod("h", "no").cast("int")
+    outer = rows.where("component <> main").withColumn("own", own)
+    last = F.col("no") - 1
+    with_outer = F.concat(
+        F.transform(F.sequence(F.lit(0), F.col("own")), lambda i: F.struct(i.alias("i"), F.col("own").alias("j"))),
+        F.transform(F.when(F.col("own") < last, F.sequence(F.col("own") + 1, last)).otherwise(F.array().cast("array<int>")), lambda j: F.struct(F.col("own").alias("i"), j.alias("j"))),
+        F.transform(F.sequence(F.lit(1), F.col("nm")), lambda j: F.struct(F.col("own").alias("i"), (-j).alias("j"))),
+    )
+    inner = rows.where("component = main").withColumn("own", -F.pmod("h", "nm").cast("int") - 1)
+    with_main = F.transform(F.sequence(F.lit(0), last), lambda i: F.struct(i.alias("i"), F.col("own").alias("j")))
+    placed = outer.select("grp", "rep", "component", "own", F.explode(with_outer).alias("at")).union(inner.select("grp", "rep", "component", "own", F.explode(with_main).alias("at")))
+    placed = placed.select("grp", "at.i", "at.j", "rep", "component", "own").join(sets, "rep")
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        i, j = int(pdf["i"].iloc[0]), int(pdf["j"].iloc[0])
+        left, right = pdf[pdf["own"] == i], pdf[pdf["own"] == j]
+        out_a, out_b = [], []
+        if len(left) and len(right):
+            arrays = list(right["shingles"])
+            size = np.array([len(x) for x in arrays])
+            universe, at = np.unique(np.concatenate(arrays), return_inverse=True)
+            starts = np.concatenate([[0], np.cumsum(size)[:-1]])
+            part, ids = right["component"].to_numpy(), right["rep"].to_numpy()
+            for a, c, s in zip(left["rep"], left["component"], left["shingles"], strict=True):
+                flag = np.zeros(len(universe), np.int32)
+                place = np.minimum(np.searchsorted(universe, s), len(universe) - 1)
+                flag[place[universe[place] == s]] = 1
+                common = np.add.reduceat(flag[at], starts)
+                hit = ((100 + percent) * common >= percent * (size + len(s))) & (part != c)
+                for b in ids[hit].tolist():
+                    out_a.append(a)
+                    out_b.append(b)
+        return pd.DataFrame({"a": out_a, "b": out_b}, dtype="int64")
+
+    return placed.groupBy("grp", "i", "j").applyInPandas(compare, "a long, b long").where("a <> b").distinct()
+
+
 def _same_id(linkable: DataFrame, reps: DataFrame) -> DataFrame:
     """Links between the representatives of one id that came with several texts."""
     folded = linkable.select("doc_id", "set_a", "set_b").join(reps.select("set_a", "set_b", "rep"), ["set_a", "set_b"])
