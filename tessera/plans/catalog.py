@@ -41,3 +41,516 @@ def hybrid_vector_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), F.col("p_retailprice").alias("price"))
     found = hybrid_search(emb.select(F.col("vec_id").alias("id"), "embedding"), probe_vector(emb, "vec_id", 0), part, F.col("price") > 905, k=20, limit=3)
     return found.select(F.col("id").alias("vec_id"), "name", "price", F.round("score", 6).alias("score"))
+
+
+# ---- vectors --------------------------------------------------------------------
+
+
+@query("""
+with p as (select embedding::DOUBLE[] q from embeddings where vec_id = 0)
+select vec_id, label, round(list_cosine_similarity(embedding::DOUBLE[], q), 6) as score
+from embeddings, p order by list_cosine_similarity(embedding::DOUBLE[], q) desc, vec_id limit 10
+""")
+def vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.operators.vector import probe_vector, top_k
+
+    emb = table(spark, sf_dir, "embeddings")
+    found = top_k(emb, probe_vector(emb, "vec_id", 0), 10, "vec_id")
+    return found.select("vec_id", "label", F.round("score", 6).alias("score"))
+
+
+@query("""
+with p as (select embedding::DOUBLE[] q from embeddings where vec_id = 0),
+top as (select vec_id, list_cosine_similarity(embedding::DOUBLE[], q) score from embeddings, p order by score desc, vec_id limit 10),
+l as (select l_partkey k, max(case when l_returnflag = 'R' then cast(l_quantity as bigint)::varchar end) r_max, max(case when l_returnflag = 'R' then l_quantity end) r_num,
+  max(case when l_returnflag = 'A' then cast(l_quantity as bigint)::varchar end) a_max, max(case when l_returnflag = 'A' then l_quantity end) a_num from lineitem group by 1)
+select vec_id, round(score, 6) as score, r_max, r_num, a_max, a_num from top left join l on k = vec_id
+""")
+def vector_profile_max(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top k with the largest value of two properties each, as text and as a number, aggregated before the join."""
+    from tessera.operators.graph import search_with_profile
+    from tessera.operators.vector import probe_vector
+
+    emb = table(spark, sf_dir, "embeddings")
+    line = table(spark, sf_dir, "lineitem").where(F.col("l_returnflag").isin("R", "A"))
+    pid = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey")
+    props = line.select(pid.alias("property_id"), F.col("l_returnflag").alias("property_name"), F.col("l_quantity").cast("long").cast("string").alias("value"), F.lit("pcs").alias("unit"))
+    edges = line.select(F.col("l_partkey").alias("src_id"), pid.alias("dst_id"))
+    found = search_with_profile(emb.select(F.col("vec_id").alias("id"), "embedding"), probe_vector(emb, "vec_id", 0), edges, props, ["R", "A"])
+    return found.select(F.col("id").alias("vec_id"), F.round("score", 6).alias("score"), F.col("R_max").alias("r_max"), F.col("R_max_num").alias("r_num"), F.col("A_max").alias("a_max"), F.col("A_max_num").alias("a_num"))
+
+
+@query("""
+with e as (select vec_id, embedding::DOUBLE[] v from embeddings),
+s as (select a.vec_id a, b.vec_id b, list_dot_product(a.v, b.v) score from e a join e b on a.vec_id <> b.vec_id where list_dot_product(a.v, b.v) >= 0.4),
+r as (select *, row_number() over (partition by a order by score desc, b) r from s)
+select distinct least(a, b) as a, greatest(a, b) as b, round(score, 6) as score from r where r <= 4
+""")
+def similarity_edges_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.operators.resolve import similar_pairs
+
+    found = similar_pairs(table(spark, sf_dir, "embeddings"), 0.4, 5, "vec_id")
+    return found.select("a", "b", F.round("score", 6).alias("score")).distinct()
+
+
+# ---- names ----------------------------------------------------------------------
+
+
+@query()
+def fuzzy_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.operators import resolve
+
+    return resolve.fuzzy_pairs(table(spark, sf_dir, "part"), "p_name", 75.0).withColumn("ratio", F.round("ratio", 6))
+
+
+@query()
+def name_clusters_dbscan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.operators import resolve
+
+    return resolve.cluster_names(table(spark, sf_dir, "part"), "p_name", 75.0)
+
+
+_TOKEN_EDGES = """
+n as (select distinct p_name name from part),
+t as (select name, unnest(string_split(name, ' ')) tok, unnest(range(len(string_split(name, ' ')))) i from n),
+e as (select a.name a, b.name b from t a join t b on a.i = 0 and b.i = 1 and a.tok[1] = b.tok[1] and a.name < b.name)
+"""
+
+
+@query(f"""
+with recursive {_TOKEN_EDGES},
+s as (select a x, b y from e union select b, a from e union select name, name from n),
+r as (select name x, name root from n union select s.y, r.root from r join s on s.x = r.x)
+select x as name, min(root) as component from r group by 1
+""")
+def connected_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names whose first token starts like the other's second token are linked."""
+    from tessera.operators.components import connected_components as cc
+
+    n = table(spark, sf_dir, "part").select(F.col("p_name").alias("name")).distinct().withColumn("t", F.split("name", " "))
+    a = n.where(F.size("t") > 0).select(F.col("name").alias("a"), F.substring(F.col("t")[0], 1, 1).alias("k"))
+    b = n.where(F.size("t") > 1).select(F.col("name").alias("b"), F.substring(F.col("t")[1], 1, 1).alias("k"))
+    found = cc(a.join(b, "k").where("a < b").select("a", "b"), "a", "b")
+    return n.join(found, n["name"] == found["id"], "left").select("name", F.coalesce("component", "name").alias("component"))
+
+
+@query("""
+with c as (select p_brand component, p_name name, count(*) freq from part group by 1, 2),
+r as (select *, row_number() over (partition by component order by len(string_split(name, ' ')), -freq, length(name), name) r, count(*) over (partition by component) names from c)
+select component, name as canonical_name, names from r where r = 1
+""")
+def canonical_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.operators.resolve import pick_canonical
+
+    return pick_canonical(table(spark, sf_dir, "part").select(F.col("p_brand").alias("component"), F.col("p_name").alias("cleaned_name")))
+
+
+@query("""
+with r as (select p_partkey id, (p_size || ' M ' || p_name || case when p_size % 3 = 0 then ' ' || (1000 + p_size % 5) else '' end || case when p_size % 4 = 0 then ' n-doped' else '' end) nm,
+  case when p_size % 5 <> 0 then p_brand end formula, case when p_size % 7 = 0 then '' else p_type end as role, p_name || '|' || p_brand as k from part),
+f as (select id, try_cast(regexp_extract(nm, '(?i)(\\d+\\.?\\d*)\\s*(?:M|mol/L)', 1) as double) conc, nullif(regexp_replace(lower(formula), '\\s+', '', 'g'), '') form, nullif(role, '') part,
+  list_sort(list_distinct(regexp_extract_all(lower(nm), '\\b[A-Z0-9]{4,}\\b'))) codes, case when nm like '%n-doped%' then 'n' end dopes, k from r)
+select a.id as a, b.id as b from f a join f b on a.id < b.id and a.k = b.k
+where coalesce(a.conc = b.conc, true) and coalesce(a.form = b.form, true) and coalesce(a.part = b.part, true) and coalesce(a.dopes = b.dopes, true)
+  and (len(a.codes) = 0 or len(b.codes) = 0 or a.codes = b.codes)
+""")
+def hard_edge_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Concentration, formula, role, product code and dopant filters over candidate pairs: parts of one name and brand."""
+    from tessera.operators.resolve import compatible, features
+
+    p = table(spark, sf_dir, "part")
+    name = F.concat(F.col("p_size").cast("string"), F.lit(" M "), "p_name", F.when(F.expr("p_size % 3 = 0"), F.concat(F.lit(" "), F.expr("1000 + p_size % 5").cast("string"))).otherwise(""), F.when(F.expr("p_size % 4 = 0"), " n-doped").otherwise(""))
+    rec = p.select(F.col("p_partkey").alias("id"), name.alias("cleaned_name"), F.when(F.expr("p_size % 5 <> 0"), F.col("p_brand")).alias("formula"), F.when(F.expr("p_size % 7 = 0"), "").otherwise(F.col("p_type")).alias("role"), F.concat_ws("|", "p_name", "p_brand").alias("k"))
+    f = features(rec)
+    pairs = f.alias("x").join(f.alias("y"), (F.col("x.k") == F.col("y.k")) & (F.col("x.id") < F.col("y.id")))
+    return pairs.where(compatible("x", "y")).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+
+
+# ---- units and properties ------------------------------------------------------------
+
+# An invented conversion map: multiply, add, no factor, special units, a blank, a repeat and an unused entry.
+_MAP = (
+    (0, "click", "m", "2"),
+    (1, "click", "m", "1000"),
+    (2, "view", "K", "add 273.15"),
+    (3, "purchase", "Dimensionless", "1"),
+    (4, "login", "Unable to convert", None),
+    (5, " logout ", "s", "x"),
+    (6, "", "s", "1"),
+    (7, None, "s", "1"),
+    (8, "unused", "s", "1"),
+)
+_MAP_SQL = "(values " + ", ".join("(" + ", ".join("null" if v is None else str(v) if isinstance(v, int) else f"'{v}'" for v in row) + ")" for row in _MAP) + ") m(pos, original, si_unit, factor)"
+
+
+def _map(spark: SparkSession) -> DataFrame:
+    from tessera.schemas import UNIT_CONVERSION
+
+    return spark.createDataFrame(_MAP, UNIT_CONVERSION)
+
+
+def _measured(spark: SparkSession, sf_dir: str) -> DataFrame:
+    unit = F.when(F.expr("event_id % 11 = 0"), F.lit(None)).otherwise(F.col("event_type"))
+    value = F.when(F.expr("event_id % 13 = 0"), "about 5").otherwise(F.round("value", 3).cast("decimal(18,3)").cast("string"))
+    return table(spark, sf_dir, "events").select("event_id", value.alias("value"), unit.alias("unit"))
+
+
+_UNITS_SQL = f"""
+d as (select event_id, case when event_id % 13 = 0 then 'about 5' else cast(round(value, 3) as decimal(18,3))::varchar end v, case when event_id % 11 = 0 then null else event_type end u from events),
+m0 as (select trim(original) k, si_unit, factor, row_number() over (partition by trim(original) order by pos desc) r from {_MAP_SQL} where trim(original) <> ''),
+m1 as (select k, si_unit, case when regexp_matches(factor, '(?i)^\\s*add\\s+') then 'add' when try_cast(factor as double) is not null then 'multiply' end op,
+  coalesce(try_cast(nullif(regexp_extract(factor, '(?i)^\\s*add\\s+([+-]?\\d+\\.?\\d*)\\s*$', 1), '') as double), try_cast(factor as double)) amount from m0 where r = 1),
+n as (select d.*, m1.*, case when u is null or trim(u) = '' then 'missing_unit' when k is null then 'unmatched' when op is null then 'missing_factor'
+  when try_cast(v as double) is null then 'non_numeric' else 'normalized' end status from d left join m1 on trim(u) = k)
+"""
+
+
+@query(f"""
+with {_UNITS_SQL}
+select event_id, status, round(case when status = 'normalized' then case when op = 'add' then v::double + amount else v::double * amount end else try_cast(v as double) end, 6) as number,
+  case when status in ('missing_unit', 'unmatched') then u when lower(trim(si_unit)) in ('', 'unable to convert') then trim(u) when lower(trim(si_unit)) = 'dimensionless' then '1' else trim(si_unit) end as unit,
+  case when status <> 'missing_unit' then v end as original_value, case when status <> 'missing_unit' then trim(u) end as original_unit from n
+""")
+def unit_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.operators.units import normalize_units
+
+    done = normalize_units(_measured(spark, sf_dir), _map(spark))
+    return done.select("event_id", "status", F.round(F.col("value").try_cast("double"), 6).alias("number"), "unit", "original_value", "original_unit")
+
+
+@query(f"""
+with {_UNITS_SQL}
+select count(*) as visited, count(*) filter (status = 'missing_unit') as missing_unit, count(*) filter (status = 'unmatched') as unmatched,
+  count(*) filter (status = 'missing_factor') as missing_factor, count(*) filter (status = 'non_numeric') as non_numeric, count(*) filter (status = 'normalized') as normalized from n
+""")
+def unit_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.operators.units import normalize_units, unit_statistics
+
+    return unit_statistics(normalize_units(_measured(spark, sf_dir), _map(spark)))
+
+
+@query(f"with {_UNITS_SQL} select trim(u) as unit, count(*) as n from n where status = 'unmatched' group by 1")
+def unit_unmatched_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.operators.units import normalize_units, unmatched_units
+
+    return unmatched_units(normalize_units(_measured(spark, sf_dir), _map(spark)))
+
+
+@query(f"select distinct event_type as unit from events where trim(event_type) not in (select trim(original) from {_MAP_SQL} where original is not null)")
+def unit_coverage_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.operators.units import uncovered
+
+    return uncovered(table(spark, sf_dir, "events").select(F.col("event_type").alias("unit")), _map(spark))
+
+
+_FATE_SQL = f"""
+select pos, original, case when original is null or trim(original) = '' then 'invalid' when row_number() over (partition by trim(original) order by pos) > 1 then 'duplicate'
+  when trim(original) not in (select event_type from events) then 'unused' else 'kept' end as fate from {_MAP_SQL}
+"""
+
+
+@query(f"select pos, original from ({_FATE_SQL}) where fate = 'kept'")
+def unit_map_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.operators.units import map_hygiene
+
+    return map_hygiene(_map(spark), table(spark, sf_dir, "events"), "event_type").where("fate = 'kept'").select("pos", "original")
+
+
+@query(_FATE_SQL)
+def unit_map_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.operators.units import map_hygiene
+
+    return map_hygiene(_map(spark), table(spark, sf_dir, "events"), "event_type").select("pos", "original", "fate")
+
+
+_PROPS = ((0, "STANDARD ANODIZED TIN", "tin"), (1, " SMALL PLATED COPPER ", "copper"), (2, "PROMO BRUSHED STEEL", None), (3, "LARGE", " "), (4, "STANDARD ANODIZED TIN", " standard tin "))
+_PROPS_SQL = "(values " + ", ".join("(" + ", ".join("null" if v is None else str(v) if isinstance(v, int) else f"'{v}'" for v in row) + ")" for row in _PROPS) + ") m(pos, property, normalized)"
+
+
+@query(f"""
+with m as (select trim(property) k, trim(normalized) t, row_number() over (partition by trim(property) order by pos desc) r from {_PROPS_SQL}),
+t as (select distinct p_type from part order by 1 limit 3),
+d as (select p_partkey, case when p_size % 6 = 0 then '' when p_size % 6 = 1 then 'STANDARD ANODIZED TIN' when p_size % 6 = 2 then 'PROMO BRUSHED STEEL' else p_type end nm from part)
+select p_partkey, case when nullif(t, '') is not null then t else nm end as property_name, nullif(trim(nm), '') as original_property_name,
+  case when trim(nm) = '' then 'empty' when k is null then 'unmatched' when nullif(t, '') is null then 'no_target' else 'normalized' end as status
+from d left join (select * from m where r = 1) m on trim(nm) = k
+""")
+def property_map_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.operators.units import apply_property_map
+    from tessera.schemas import PROPERTY_MAP
+
+    name = F.expr("case when p_size % 6 = 0 then '' when p_size % 6 = 1 then 'STANDARD ANODIZED TIN' when p_size % 6 = 2 then 'PROMO BRUSHED STEEL' else p_type end")
+    rows = table(spark, sf_dir, "part").select("p_partkey", name.alias("property_name"))
+    return apply_property_map(rows, spark.createDataFrame(_PROPS, PROPERTY_MAP))
+
+
+@query("select distinct trim(p_brand) as p_brand from part where trim(p_brand) <> ''")
+def distinct_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.operators.units import vocabulary
+
+    return vocabulary(table(spark, sf_dir, "part"), "p_brand")
+
+
+# ---- text -----------------------------------------------------------------------
+
+
+@query("""
+select doc_id, sha256(trim(regexp_replace(translate(nfc_normalize(text), '‐‑‒–—−', '------'), '[\\s\\x{00A0}]+', ' ', 'g'))) as digest from documents
+""")
+def text_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables hold no signs on which NFKC and NFC (all that DuckDB has) differ."""
+    from tessera.functions.text import normalize_text
+
+    return table(spark, sf_dir, "documents").select("doc_id", F.sha2(normalize_text("text"), 256).alias("digest"))
+
+
+@query("""
+select p_partkey, trim(regexp_replace(regexp_replace(regexp_replace(trim(lower(p_name || ' Film, coated (' || p_type || ')')),
+  '\\b(composite|electrode|as prepared|sample|film|coated|deposited|synthesized|fabricated|material)\\b', '', 'g'), '[^\\w\\s/-]', '', 'g'), '\\s+', ' ', 'g')) as cleaned from part
+""")
+def clean_name_v1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.functions.text import clean_material_name
+
+    raw = F.concat("p_name", F.lit(" Film, coated ("), "p_type", F.lit(")"))
+    return table(spark, sf_dir, "part").select("p_partkey", clean_material_name(raw).alias("cleaned"))
+
+
+@query("""
+select conv_id, turn, case turn % 3 when 0 then '{"turn": ' || turn || '}' when 1 then '{"a": {"b": ' || turn || '}}' else 'no json ' || turn end as reply from conversations
+""")
+def json_reply_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replies wrapped in reasoning and a fence, in prose, or without JSON."""
+    from tessera.functions.text import reply_json
+
+    t = F.col("turn").cast("string")
+    raw = (
+        F.when(F.expr("turn % 3 = 0"), F.concat(F.lit("<reasoning>a {b}\nc</reasoning>\n```json\n{\"turn\": "), t, F.lit("}\n```\nbye")))
+        .when(F.expr("turn % 3 = 1"), F.concat(F.lit("Here: {\"a\": {\"b\": "), t, F.lit("}} done")))
+        .otherwise(F.concat(F.lit("  no json "), t))
+    )
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", reply_json(raw).alias("reply"))
+
+
+@query("select event_id, key, json_extract_string(props, '$.' || key) as value from (select event_id, props, unnest(json_keys(props)) as key from events)")
+def json_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "events").select("event_id", F.explode(F.from_json("props", "map<string,string>")))
+    return rows.select("event_id", "key", "value")
+
+
+@query("""
+with s as (select event_id, case event_id % 5 when 0 then round(value, 2)::decimal(18,2)::varchar || ' ' || event_type when 1 then ' ' || event_type when 2 then '~5 A' when 3 then '0-1.0V' else '1e5' end raw from events)
+select event_id, try_cast(regexp_extract(raw, '^([+-]?\\d+\\.?\\d*)\\s*(.*)', 1) as double) as num, regexp_extract(raw, '^([+-]?\\d+\\.?\\d*)\\s*(.*)', 2) as unit from s
+""")
+def numeric_unit_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.functions.text import numeric_and_unit
+
+    raw = F.expr("case event_id % 5 when 0 then concat(cast(cast(round(value, 2) as decimal(18,2)) as string), ' ', event_type) when 1 then concat(' ', event_type) when 2 then '~5 A' when 3 then '0-1.0V' else '1e5' end")
+    return table(spark, sf_dir, "events").select("event_id", numeric_and_unit(raw).alias("s")).select("event_id", "s.num", "s.unit")
+
+
+@query("""
+with d as (select p_partkey, ['6 M KOH', '1 M Na2SO4 + 0.5 mM KI in PC', 'gel electrolyte', '5 MnO2', '6 M', '10', '1 M PVA/KOH', 'K3C6H5O7', ''][p_size % 9 + 1] as raw from part),
+t as (select p_partkey, raw, trim(regexp_replace(trim(raw), '(?i)\\b(aqueous|solution|electrolyte|gel)\\b', '', 'g')) x from d),
+s as (select p_partkey, raw, trim(regexp_extract(x, '(?i)\\bin\\s+([\\w\\s,]+)$', 1)) solvent, trim(regexp_replace(x, '(?i)\\bin\\s+([\\w\\s,]+)$', '')) salts from t),
+p as (select p_partkey, raw, solvent, list_filter(string_split_regex(salts, '\\s+\\+\\s+|\\s+and\\s+'), lambda e: trim(e) <> '') parts from s),
+u as (select p_partkey, raw, solvent, unnest(parts) part, unnest(range(len(parts))) i from p where len(parts) > 0)
+select p_partkey, raw as original, solvent, i::int as i, case when regexp_matches(part, '^(\\d+\\.?\\d*)\\s*(M|mM|µM|uM|mol/L)?\\s*(\\w[\\w\\s]*)') then trim(regexp_extract(part, '^(\\d+\\.?\\d*)\\s*(M|mM|µM|uM|mol/L)?\\s*(\\w[\\w\\s]*)', 3)) else part end as solute,
+  try_cast(nullif(regexp_extract(part, '^(\\d+\\.?\\d*)\\s*(M|mM|µM|uM|mol/L)?\\s*(\\w[\\w\\s]*)', 1), '') as double) as concentration,
+  case when regexp_matches(part, '^(\\d+\\.?\\d*)\\s*(M|mM|µM|uM|mol/L)?\\s*(\\w[\\w\\s]*)') then coalesce(nullif(regexp_extract(part, '^(\\d+\\.?\\d*)\\s*(M|mM|µM|uM|mol/L)?\\s*(\\w[\\w\\s]*)', 2), ''), 'M') end as unit from u
+""")
+def electrolyte_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.functions.text import electrolyte
+
+    raw = F.expr("array('6 M KOH', '1 M Na2SO4 + 0.5 mM KI in PC', 'gel electrolyte', '5 MnO2', '6 M', '10', '1 M PVA/KOH', 'K3C6H5O7', '')[p_size % 9]")
+    e = table(spark, sf_dir, "part").select("p_partkey", electrolyte(raw).alias("e"))
+    return e.select("p_partkey", "e.original", "e.solvent", F.posexplode("e.components").alias("i", "c")).select("p_partkey", "original", "solvent", "i", "c.*")
+
+
+@query("""
+with s as (select p_partkey, p_name || ' (' || p_type || ')' || case when p_size % 2 = 0 then ' x (y)' else '' end raw from part)
+select p_partkey, trim(regexp_replace(raw, '\\s*\\(.*?\\)', '', 'g')) as name, regexp_extract(raw, '\\((.*?)\\)', 1) as role_hint from s
+""")
+def precursor_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.functions.text import precursor_name, precursor_role
+
+    raw = F.expr("concat(p_name, ' (', p_type, ')', case when p_size % 2 = 0 then ' x (y)' else '' end)")
+    return table(spark, sf_dir, "part").select("p_partkey", precursor_name(raw).alias("name"), precursor_role(raw).alias("role_hint"))
+
+
+@query("select p_partkey, replace(replace('10.1016/j:' || p_partkey, '/', '_'), ':', '_') as file, replace('10.1016_' || p_partkey, '_', '/') as doi from part")
+def doi_file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.functions.text import doi_to_file, file_to_doi
+
+    k = F.col("p_partkey").cast("string")
+    return table(spark, sf_dir, "part").select("p_partkey", doi_to_file(F.concat(F.lit("10.1016/j:"), k)).alias("file"), file_to_doi(F.concat(F.lit("10.1016_"), k, F.lit(".json"))).alias("doi"))
+
+
+# ---- ledgers ----------------------------------------------------------------------
+
+_STATUS_SQL = "case o_orderstatus when 'F' then 1 when 'O' then 0 when 'P' then 2 end"
+
+
+def _ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = F.expr("case o_orderstatus when 'F' then 1 when 'O' then 0 when 'P' then 2 end")
+    doi = F.when(F.expr("o_orderkey % 17 = 0"), F.lit(None)).otherwise(F.concat(F.lit("10/"), F.col("o_orderkey").cast("string")))
+    return table(spark, sf_dir, "orders").select("o_orderkey", doi.alias("doi"), s.alias("downloaded"), F.when(F.expr("o_orderkey % 5 <> 0"), s).alias("llm_processed"))
+
+
+@query(f"select o_orderkey, '10/' || o_orderkey as doi from orders where {_STATUS_SQL} = 0 and o_orderkey % 17 <> 0")
+def ledger_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.operators.ledger import to_download
+
+    return to_download(_ledger(spark, sf_dir)).select("o_orderkey", "doi")
+
+
+@query(f"""
+select o_orderkey, '10_' || o_orderkey || '.json' as file_name from orders where o_orderkey % 17 <> 0 and (o_orderkey % 5 = 0 or {_STATUS_SQL} is distinct from 1)
+""")
+def ledger_to_process(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.operators.ledger import to_process
+
+    files = table(spark, sf_dir, "orders").select(F.concat(F.lit("10_"), F.col("o_orderkey").cast("string"), F.lit(".json")).alias("file_name"))
+    ledger = _ledger(spark, sf_dir).where("doi is not null")
+    return to_process(files, ledger, "o_orderkey").select(F.substring_index("doi", "/", -1).cast("long").alias("o_orderkey"), "file_name")
+
+
+@query(f"""
+select count(*) as total, count(*) filter (s = 1) as done, count(*) filter (s = 2) as failed, count(*) filter (s = 3) as delayed, count(*) filter (s = 0) as pending
+from (select coalesce({_STATUS_SQL}, 0) s from orders)
+""")
+def status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.operators import ledger
+
+    return ledger.status_counts(_ledger(spark, sf_dir), "downloaded")
+
+
+@query("select user_id, event_id, event_type from (select *, row_number() over (partition by user_id order by ts, event_id) r from events) where r = 1")
+def dedupe_keep_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.operators.ledger import keep_first
+
+    return keep_first(table(spark, sf_dir, "events"), "user_id", "ts", "event_id").select("user_id", "event_id", "event_type")
+
+
+@query("""
+with d as (select lower(trim(c_name)) k, c_mktsegment v from customer where c_custkey % 4 <> 0)
+select o_orderkey, v as segment from orders left join customer on c_custkey = o_custkey left join d on k = lower(trim(' ' || upper(c_name) || ' '))
+""")
+def enrich_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates (here segments) joined on lower-cased, stripped keys; unmatched rows stay."""
+    from tessera.operators.ledger import enrich
+
+    c = table(spark, sf_dir, "customer")
+    o = table(spark, sf_dir, "orders").join(c.select(F.col("c_custkey").alias("o_custkey"), F.concat(F.lit(" "), F.upper("c_name"), F.lit(" ")).alias("doi")), "o_custkey", "left")
+    dates = c.select(F.col("c_name").alias("doi"), F.when(F.expr("c_custkey % 4 <> 0"), F.col("c_mktsegment")).alias("segment"), "c_custkey")
+    return enrich(o, dates, "doi", "segment", "c_custkey").select("o_orderkey", "segment")
+
+
+# ---- graph -----------------------------------------------------------------------
+
+
+@query("""
+select l_suppkey::varchar as name, arg_min(l_returnflag, (l_orderkey * 10 + l_linenumber)) as first_flag, arg_max(l_linestatus, (l_orderkey * 10 + l_linenumber)) as last_status from lineitem group by 1
+""")
+def graph_nodes_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MERGE by key: one attribute set on creation, one on every match."""
+    from tessera.operators.graph import merge_nodes
+
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").cast("string").alias("name"), F.col("l_returnflag").alias("first_flag"), F.col("l_linestatus").alias("last_status"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("o"))
+    return merge_nodes(rows, "name", F.col("o"), ["first_flag"], ["last_status"])
+
+
+@query("select distinct l_partkey::varchar as src_id, l_suppkey::varchar as dst_id from lineitem")
+def graph_edges_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.operators.graph import merge_edges
+
+    return merge_edges(table(spark, sf_dir, "lineitem"), "l_partkey", "l_suppkey")
+
+
+@query("""
+with b as (select o_custkey k, count(*) orders, max(o_totalprice) top from orders where o_orderstatus = 'F' group by 1),
+n as (select o_custkey k, string_agg(distinct l_returnflag, ',' order by l_returnflag) flags from orders join lineitem on l_orderkey = o_orderkey group by 1)
+select c_custkey, coalesce(b.orders, 0) as orders, b.top as top_price, n.flags as flags from customer left join b on b.k = c_custkey left join n on n.k = c_custkey
+""")
+def graph_pattern_optional(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Optional patterns: the predicate belongs to the optional side, and each branch is aggregated before it joins."""
+    c, o, li = (table(spark, sf_dir, t) for t in ("customer", "orders", "lineitem"))
+    b = o.where("o_orderstatus = 'F'").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("orders"), F.max("o_totalprice").alias("top_price"))
+    n = o.join(li, F.col("o_orderkey") == F.col("l_orderkey")).groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.array_join(F.array_sort(F.collect_set("l_returnflag")), ",").alias("flags"))
+    return c.select("c_custkey").join(b, "c_custkey", "left").join(n, "c_custkey", "left").select("c_custkey", F.coalesce("orders", F.lit(0)).alias("orders"), "top_price", "flags")
+
+
+@query("""
+select lag(conv_id || '-' || turn) over w as src_id, conv_id || '-' || turn as dst_id from conversations window w as (partition by conv_id order by turn) qualify lag(turn) over w is not null
+""")
+def next_step_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.operators.graph import next_links
+
+    rows = table(spark, sf_dir, "conversations").withColumn("id", F.concat_ws("-", "conv_id", "turn"))
+    return next_links(rows, "conv_id", "turn", "id")
+
+
+@query("select doc_id, ((row_number() over (order by doc_id) - 1) // 100)::bigint as batch from documents")
+def chunk_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.operators.documents import chunks
+
+    return chunks(table(spark, sf_dir, "documents").select("doc_id"), "doc_id", 100).select("doc_id", "batch")
+
+
+@query("""
+select '{"recordId":' || to_json(doc_id::varchar)::varchar || ',"modelInput":{"messages":[{"role":"system","content":"S"},{"role":"user","content":' || to_json(source || ': ' || lang)::varchar || '}],"temperature":0.0}}' as value from documents
+""")
+def batch_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.operators.documents import request_lines
+
+    return request_lines(table(spark, sf_dir, "documents"), F.col("doc_id").cast("string"), "S", F.concat("source", F.lit(": "), "lang"))
+
+
+@query("""
+select doc_id as line, unnest(case doc_id % 5 when 1 then ['invalid JSON'] when 2 then ['missing recordId'] when 3 then ['missing modelInput'] when 4 then ['missing recordId', 'missing messages'] end) as error from documents where doc_id % 5 > 0
+""")
+def jsonl_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.operators.documents import validate_lines
+
+    value = F.expr("""case doc_id % 5 when 0 then '{"recordId":"a","modelInput":{"messages":[]}}' when 1 then '{"recordId":' when 2 then '{"modelInput":{"messages":[]}}' when 3 then '{"recordId":"a"}' else '{"modelInput":{"x":1}}' end""")
+    return validate_lines(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("line"), value.alias("value")))
+
+
+@query("select source as key, count(*) as n from documents group by 1 having source is null or count(*) > 1")
+def constraint_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.operators.graph import violations
+
+    return violations(table(spark, sf_dir, "documents").select(F.col("source").alias("key")), "key")
+
+
+@query("""
+with p as (select embedding::DOUBLE[] q from embeddings where vec_id = 0),
+top as (select vec_id, list_cosine_similarity(embedding::DOUBLE[], q) score from embeddings, p order by score desc, vec_id limit 20)
+select vec_id, label, round(score, 6) as score from (select vec_id, score from top) join embeddings using (vec_id) where label % 2 = 0
+""")
+def labelled_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A label predicate after the nearest-neighbour step."""
+    from tessera.operators import graph
+    from tessera.operators.vector import probe_vector
+
+    emb = table(spark, sf_dir, "embeddings")
+    nodes = emb.select(F.col("vec_id").alias("id"), "label")
+    found = graph.labelled_search(emb.select(F.col("vec_id").alias("id"), "embedding"), probe_vector(emb, "vec_id", 0), nodes, F.expr("label % 2 = 0"), 20)
+    return found.select(F.col("id").alias("vec_id"), "label", F.round("score", 6).alias("score"))
+
+
+@query("""
+with p as (select embedding::DOUBLE[] q from embeddings where vec_id = 0),
+top as (select vec_id, list_cosine_similarity(embedding::DOUBLE[], q) score from embeddings, p order by score desc, vec_id limit 20)
+select vec_id, round(score, 6) as score, l_extendedprice::varchar as value from top join lineitem on l_partkey = vec_id where l_returnflag = 'R' and l_extendedprice > 20000
+order by top.score desc, vec_id, l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey || '-' || l_extendedprice limit 10
+""")
+def hybrid_property_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top 20, then one row for each property above a bound, best 10."""
+    from tessera.operators.graph import search_with_property
+    from tessera.operators.vector import probe_vector
+
+    emb, line = table(spark, sf_dir, "embeddings"), table(spark, sf_dir, "lineitem")
+    pid = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_extendedprice").cast("string"))
+    props = line.select(pid.alias("property_id"), F.col("l_returnflag").alias("property_name"), F.col("l_extendedprice").cast("string").alias("value"), F.lit("x").alias("unit"))
+    found = search_with_property(emb.select(F.col("vec_id").alias("id"), "embedding"), probe_vector(emb, "vec_id", 0), line.select(F.col("l_partkey").alias("src_id"), pid.alias("dst_id")), props, "R", 20000, 20, 10)
+    return found.select(F.col("id").alias("vec_id"), F.round("score", 6).alias("score"), "value")
