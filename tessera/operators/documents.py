@@ -19,8 +19,7 @@ from tessera.schemas import EXTRACTION, STEP
 
 def read_json_dir(spark: SparkSession, path: str, recursive: bool = False, suffix: str = "*.json") -> DataFrame:
     """``file_path, text, doc`` of whole JSON files; a file that is no JSON has a null ``doc``."""
-    reader = spark.read.option("wholetext", True).option("pathGlobFilter", suffix).option("recursiveFileLookup", recursive)
-    rows = reader.text(path).select(F.col("_metadata.file_path").alias("file_path"), F.col("value").alias("text"))
+    rows = spark.read.text(path, wholetext=True, pathGlobFilter=suffix, recursiveFileLookup=recursive).select(F.col("_metadata.file_path").alias("file_path"), F.col("value").alias("text"))
     return rows.withColumn("doc", F.try_parse_json("text"))
 
 
