@@ -83,13 +83,14 @@ def runs(units: list[tuple[int, int, list[bytes]]], least: int = SENTENCES, word
     last = np.maximum(np.searchsorted(count, count[:-1] + words) - 1, place + least - 1)
     first = np.minimum(np.searchsorted(count, count[1:] - words, side="right") - 1, place - least + 1)
     a, b = last < n, first >= 0
-    pairs = np.unique(np.concatenate([np.stack([place[a], last[a]], 1), np.stack([first[b], place[b]], 1)]), axis=0)
+    # First and last sentence share one integer, so that equal runs fall together in one sort.
+    pairs = np.unique(np.concatenate([(place[a] << 32) | last[a], (first[b] << 32) | place[b]]))
     if not len(pairs):
         return np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int32)
     power = np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(n, _BASE, np.uint64))])
     # A run's value is the sum of h_i * B^(s - i): the difference of two prefix sums, shifted by a power.
     head = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * _inverse_powers(n), dtype=np.uint64)])
-    s, e = pairs[:, 0], pairs[:, 1]
+    s, e = pairs >> 32, pairs & 0xFFFFFFFF
     value = (head[e + 1] - head[s]) * power[s]
     return mix(value ^ mix((e - s + 1).astype(np.uint64))).view(np.int64), s.astype(np.int32), e.astype(np.int32)
 
@@ -141,20 +142,23 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     return spans.groupBy("doc_id").agg(F.collect_list(F.struct("s", "e")).alias("spans"), F.array_sort(F.collect_set("first")).alias("first_doc_ids"))
 
 
-def without(text: str | None, spans: list | None) -> tuple[int, int, str | None]:
-    """Sentences in all, sentences removed, and the text that stays."""
+def without(text: str, spans: list) -> tuple[int, str]:
+    """How many sentences go, and the text that stays."""
     units = sentences(text)
     gone = {i for x in spans for i in range(x["s"], x["e"] + 1)}
-    return len(units), len(gone), "".join(text[a:b] for i, (a, b, _) in enumerate(units) if i not in gone).strip()
+    return len(gone), "".join(text[a:b] for i, (a, b, _) in enumerate(units) if i not in gone).strip()
 
 
 def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "text", prefix: str = "") -> DataFrame:
-    """Documents with repeats cut out of their text, and ``n_sentences, n_removed, first_doc_ids`` appended."""
+    """Documents with repeats cut out of their text, and ``n_removed, first_doc_ids`` appended.
+
+    A text without repeats is not even split again.
+    """
     names = docs.columns
     repeated = repeated_spans(docs, id_col, text).select(F.col("doc_id").alias("__span_doc"), F.col("spans").alias("__spans"), F.col("first_doc_ids").alias("__first"))
     # The join brings at most one row to each document.
     joined = docs.join(repeated, docs[id_col] == repeated["__span_doc"], "left").drop("__span_doc")
-    schema = T.StructType([*docs.schema.fields, T.StructField(f"{prefix}n_sentences", T.LongType()), T.StructField(f"{prefix}n_removed", T.LongType()), T.StructField(f"{prefix}first_doc_ids", T.ArrayType(T.LongType()))])
+    schema = T.StructType([*docs.schema.fields, T.StructField(f"{prefix}n_removed", T.LongType()), T.StructField(f"{prefix}first_doc_ids", T.ArrayType(T.LongType()))])
     target = arrow_schema(schema)
     where = names.index(text)
 
@@ -163,21 +167,20 @@ def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "text", pre
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 columns = part.columns[: len(names)]
-                total, gone, kept = [], [], []
+                gone, kept = [], []
                 for t, spans in zip(columns[where].to_pylist(), part.column(len(names)).to_pylist(), strict=True):
-                    n, k, t = without(t, spans) if spans else (len(sentences(t)), 0, t)
-                    total.append(n)
+                    k, t = without(t, spans) if spans else (0, t)
                     gone.append(k)
                     kept.append(t)
                 columns[where] = pa.array(kept, type=target.field(where).type)
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(total, pa.int64()), pa.array(gone, pa.int64()), part.column(len(names) + 1)], names=schema.names)
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(gone, pa.int64()), part.column(len(names) + 1)], names=schema.names)
 
     return joined.mapInArrow(make, schema)
 
 
 def op5_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
-    return dedup_spans(docs).select("doc_id", "n_sentences", "n_removed", (F.col("n_removed") > 0).alias("changed"), F.coalesce("first_doc_ids", F.array().cast("array<bigint>")).alias("first_doc_ids"), "text")
+    return dedup_spans(docs).select("doc_id", "n_removed", (F.col("n_removed") > 0).alias("changed"), F.coalesce("first_doc_ids", F.array().cast("array<bigint>")).alias("first_doc_ids"), "text")
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
