@@ -242,7 +242,6 @@ def op3_benchmark_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
         (F.size("spans") > 0).alias("contaminated"),
-        "longest",
     )
 
 
@@ -269,3 +268,21 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op3_benchmark_overlap": op3_benchmark_overlap}
+
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+ORACLE = {
+    "op3_benchmark_overlap": f"""
+with d as (select doc_id, coalesce({_WORDS}, []) as w from documents),
+i as (select item_id::varchar as item, {_WORDS} as w from benchmark where text is not null),
+iw as (select item, least(len(w), {WINDOW}) as n, unnest(range(len(w) - least(len(w), {WINDOW}) + 1)) as a, w from i where len(w) > 0),
+win as (select distinct item, n, array_to_string(w[a + 1 : a + n], ' ') as k from iw),
+dw as (select doc_id, m.n, unnest(range(len(w) - m.n + 1)) as a, w from d, (select distinct n from win) m where len(w) >= m.n),
+hit as (select distinct dw.doc_id, dw.a, dw.n, win.item from dw join win on win.n = dw.n and win.k = array_to_string(dw.w[dw.a + 1 : dw.a + dw.n], ' ')),
+pos as (select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(range(a, a + n)) as p from hit) group by 1),
+its as (select doc_id, count(distinct item) as n_items, string_agg(distinct item, ',' order by item) as ids from hit group by 1)
+select d.doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+  sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join pos using (doc_id) left join its using (doc_id)
+"""
+}

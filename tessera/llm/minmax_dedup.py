@@ -278,3 +278,19 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op4_near_duplicates": op4_near_duplicates}
+
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+ORACLE = {
+    "op4_near_duplicates": f"""
+with recursive d as (select doc_id, coalesce(regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+'), []) as w from documents),
+s as (select distinct doc_id, unnest(case when len(w) = 1 then [w[1]] else list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) end) as g from d where len(w) > 0),
+n as (select doc_id, count(*) as n from s group by 1),
+c as (select a.doc_id as x, b.doc_id as y, count(*) as k from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2),
+l as (select x, y from c join n a on a.doc_id = x join n b on b.doc_id = y where 100 * k >= 80 * (a.n + b.n - k)),
+e as (select x, y from l union all select y, x from l),
+r as (select doc_id as x, doc_id as root from n union select e.y, r.root from r join e on e.x = r.x),
+m as (select x, min(root) as component_id from r group by 1)
+select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, coalesce(component_id, d.doc_id) as component_id, d.doc_id = coalesce(component_id, d.doc_id) as kept
+from d left join n using (doc_id) left join m on m.x = d.doc_id
+"""
+}

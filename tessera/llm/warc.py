@@ -232,3 +232,14 @@ def op8_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op8_warc_archive": op8_warc_archive}
+
+_BITS = " + ".join(f"(substr(b, 5 * i + {j}, 1) = '1')::int * {1 << (5 - j)}" for j in range(1, 6))
+ORACLE = {
+    "op8_warc_archive": f"""
+with p as (select page_id, octet_length(encode(coalesce(html, '')))::bigint as payload_bytes, unhex(sha1(coalesce(html, '')))::bit::varchar as b from pages),
+d as (select page_id, payload_bytes, array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', {_BITS} + 1, 1)), '') as payload_digest from p),
+f as (select *, min(page_id) over (partition by payload_digest, payload_bytes) as first from d)
+select page_id, payload_bytes, payload_digest, case when page_id is not distinct from first then 'response' else 'revisit' end as record_type,
+  case when page_id is distinct from first then first end as refers_to, true as intact from f
+"""
+}
