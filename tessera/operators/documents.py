@@ -9,10 +9,12 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tessera.functions.text import DASHES, doi_to_file, normalize_text
 from tessera.schemas import EXTRACTION, STEP
+from tessera.session import materialize
 
 # ---- scans ------------------------------------------------------------------
 
@@ -229,24 +231,14 @@ def chunks(rows: DataFrame, order: str, size: int) -> DataFrame:
 
     The row number is a per-range count plus the sum of the ranges before, so no task sees all rows.
     """
-    ranged = rows.repartitionByRange(order).sortWithinPartitions(order).withColumn("__part", F.spark_partition_id())
+    ranged = rows.repartitionByRange(order).withColumn("__part", F.spark_partition_id())
+    # Written once: the two uses below must see the same ranges, whatever the planner makes of each.
+    ranged = materialize(ranged, "ranges")
     counts = ranged.groupBy("__part").agg(F.count("*").alias("n"))
-    before = counts.withColumn("before", F.coalesce(F.sum("n").over(_before()), F.lit(0))).select("__part", "before")
-    local = ranged.withColumn("__i", F.row_number().over(_within(order)))
+    before = counts.withColumn("before", F.coalesce(F.sum("n").over(W.orderBy("__part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).select("__part", "before")
+    local = ranged.withColumn("__i", F.row_number().over(W.partitionBy("__part").orderBy(order)))
     return local.join(F.broadcast(before), "__part").withColumn("batch", F.floor((F.col("before") + F.col("__i") - 1) / size)).drop("__part", "__i", "before")
 
 
-def _before():
-    from pyspark.sql import Window as W
-
-    return W.orderBy("__part").rowsBetween(W.unboundedPreceding, -1)
-
-
-def _within(order: str):
-    from pyspark.sql import Window as W
-
-    return W.partitionBy("__part").orderBy(order)
-
-
 def file_name(doi: Column | str) -> Column:
     return F.concat(doi_to_file(doi), F.lit(".json"))

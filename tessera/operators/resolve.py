@@ -13,7 +13,6 @@ from pyspark.sql import types as T
 
 from tessera.functions.text import clean_name, squeeze
 from tessera.operators.components import connected_components
-from tessera.operators.vector import dot
 from tessera.session import materialize
 
 COSINE, NEIGHBOURS, FUZZY, FUZZY_V1 = 0.95, 50, 90.0, 85.0
@@ -127,36 +126,81 @@ def hashed_vectors(rows: DataFrame, text: str, size: int = 384, grams: int = 3)
     return rows.mapInPandas(run, fields)
 
 
-#: Query vectors that are held against all rows at once; their number times a vector's size bounds the broadcast.
-QUERY_BLOCK = 2048
+#: Vectors of a block; a task multiplies two blocks, so its memory is fixed by this and the vectors' size.
+BLOCK = 2048
+#: Lists of the inverted file at most, and sampled vectors for each of them to fit the centroids on.
+LISTS, SAMPLE = 1024, 32
 
 
-def similar_pairs(vectors: DataFrame, least: float = COSINE, k: int = NEIGHBOURS, id_col: str = "id", vector: str = "embedding") -> DataFrame:
+def _centroids(rows: DataFrame, lists: int, n: int, rounds: int = 8) -> np.ndarray:
+    """Spherical k-means on a bounded sample, picked by a hash of the id."""
+    rate = min(1.0, SAMPLE * lists / max(n, 1))
+    part = rows.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int(rate * (1 << 20))).orderBy(F.xxhash64("id"), "id").select("v").toPandas()
+    x = np.stack(part["v"].map(np.asarray)).astype(np.float64) if len(part) else np.zeros((1, 1))
+    c = x[: min(lists, len(x))].copy()
+    for _ in range(rounds):
+        near = (x @ c.T).argmax(axis=1)
+        for j in range(len(c)):
+            mine = x[near == j]
+            if len(mine):
+                m = mine.sum(axis=0)
+                c[j] = m / max(np.linalg.norm(m), 1e-12)
+    return c
+
+
+def similar_pairs(vectors: DataFrame, least: float = COSINE, k: int = NEIGHBOURS, id_col: str = "id", vector: str = "embedding", lists: int | None = None, probes: int = 10) -> DataFrame:
     """Edges ``a < b, score`` of unit vectors: either end lists the other among its k nearest (itself counted), score >= least.
 
-    Exact.  Vectors at an angle below t share the sign pattern of no fixed plane, so candidates come from anchors:
-    all vectors whose distance to an anchor differs by more than the largest allowed distance cannot be similar
-    (the triangle inequality); rows meet only in the same or the next shell of their nearest-anchor distance.
+    Vectors are filed under the nearest of ``lists`` centroids, and each looks into its ``probes`` nearest lists;
+    one list (the default up to 1000 vectors) is exact, otherwise ``4 * sqrt(n)`` lists are made.  Lists are cut
+    into blocks, and a task multiplies one block of seekers with one of members and emits only what it found, so
+    neither a crowded list nor a crowd of equal vectors lands in one task or makes a row per pair.
     """
-    reach = float(np.sqrt(max(2.0 - 2.0 * least, 0.0)))
-    rows = vectors.select(F.col(id_col).alias("id"), F.col(vector).alias("v")).where("v is not null")
-    first = rows.orderBy(F.xxhash64("id"), "id").limit(2).collect()
-    if not first:
-        return rows.select(F.col("id").alias("a"), F.col("id").alias("b"), F.lit(0.0).alias("score")).limit(0)
-    anchors = [[float(x) for x in r["v"]] for r in first]
-    width = max(reach, 1e-6)
-
-    def shell(i: int) -> Column:
-        cos = dot("v", F.array(*[F.lit(x) for x in anchors[min(i, len(anchors) - 1)]]))
-        return F.floor(F.sqrt(F.greatest(F.lit(0.0), 2.0 - 2.0 * cos)) / width).cast("int")
-
-    placed = rows.withColumn("s1", shell(0)).withColumn("s2", shell(1))
-    near = F.array(F.lit(-1), F.lit(0), F.lit(1))
-    left = placed.select(F.col("id").alias("a"), F.col("v").alias("va"), "s1", "s2")
-    right = placed.withColumn("d1", F.explode(near)).withColumn("d2", F.explode(near)).select(F.col("id").alias("b"), F.col("v").alias("vb"), (F.col("s1") + F.col("d1")).alias("s1"), (F.col("s2") + F.col("d2")).alias("s2"))
-    scored = left.join(right, ["s1", "s2"]).where("a <> b").withColumn("score", dot("va", "vb")).where(F.col("score") >= least).select("a", "b", "score")
+    rows = vectors.select(F.col(id_col).alias("id"), F.col(vector).cast("array<double>").alias("v")).where("v is not null and id is not null")
+    n = rows.count()
+    if lists is None:
+        lists = 1 if n <= 1000 else min(LISTS, int(4 * np.sqrt(n)))
+    if lists > 1:
+        shared = rows.sparkSession.sparkContext.broadcast(_centroids(rows, lists, n))
+
+        def file(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            c = shared.value
+            for part in parts:
+                s = np.stack(part["v"].map(np.asarray)) @ c.T if len(part) else np.zeros((0, len(c)))
+                best = np.argsort(-s, axis=1, kind="stable")[:, : min(probes, len(c))]
+                yield part.assign(lists=[[int(j) for j in b] for b in best])
+
+        filed = rows.mapInPandas(file, T.StructType([*rows.schema.fields, T.StructField("lists", T.ArrayType(T.IntegerType()))]))
+        filed = materialize(filed, "filed")
+    else:
+        filed = rows.withColumn("lists", F.array(F.lit(0)))
+    blocks = lambda c: F.ceil(F.count("*") / BLOCK).cast("int").alias(c)
+    members = filed.select("id", "v", F.col("lists")[0].alias("list"))
+    seekers = filed.select("id", "v", F.explode("lists").alias("list"))
+    # One small row per list: how many blocks its members and its seekers make.
+    sizes = members.groupBy("list").agg(blocks("nm")).join(seekers.groupBy("list").agg(blocks("nq")), "list")
+    own = lambda c: F.pmod(F.xxhash64("id"), F.col(c)).cast("int")
+    every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    left = seekers.join(sizes, "list").select("list", own("nq").alias("q"), every("nm").alias("m"), "id", "v", F.lit(True).alias("seeks"))
+    right = members.join(sizes, "list").select("list", every("nq").alias("q"), own("nm").alias("m"), "id", "v", F.lit(False).alias("seeks"))
+
+    def multiply(pdf: pd.DataFrame) -> pd.DataFrame:
+        q, m = pdf[pdf["seeks"]].sort_values("id"), pdf[~pdf["seeks"]].sort_values("id")
+        if not len(q) or not len(m):
+            return pd.DataFrame({"a": [], "b": [], "score": []})
+        s = np.stack(q["v"].map(np.asarray)) @ np.stack(m["v"].map(np.asarray)).T
+        qi, mi = q["id"].to_numpy(), m["id"].to_numpy()
+        s[qi[:, None] == mi[None, :]] = -2.0
+        most = min(k, s.shape[1])
+        best = np.argsort(-s, axis=1, kind="stable")[:, :most]
+        score = np.take_along_axis(s, best, axis=1)
+        hit = score >= least
+        return pd.DataFrame({"a": np.repeat(qi, hit.sum(axis=1)), "b": mi[best[hit]], "score": score[hit]})
+
+    kind = rows.schema["id"].dataType.simpleString()
+    scored = left.union(right).groupBy("list", "q", "m").applyInPandas(multiply, f"a {kind}, b {kind}, score double")
     listed = scored.withColumn("r", F.row_number().over(W.partitionBy("a").orderBy(F.desc("score"), "b"))).where(F.col("r") <= k - 1)
-    return listed.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "score").distinct()
+    return listed.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max("score").alias("score"))
 
 
 # ---- edge filters -----------------------------------------------------------

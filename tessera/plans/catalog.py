@@ -89,8 +89,8 @@ select distinct least(a, b) as a, greatest(a, b) as b, round(score, 6) as score
 def similarity_edges_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.operators.resolve import similar_pairs
 
-    found = similar_pairs(table(spark, sf_dir, "embeddings"), 0.4, 5, "vec_id")
-    return found.select("a", "b", F.round("score", 6).alias("score")).distinct()
+    found = similar_pairs(table(spark, sf_dir, "embeddings"), 0.4, 5, "vec_id", lists=1)
+    return found.select("a", "b", F.round("score", 6).alias("score"))
 
 
 # ---- names ----------------------------------------------------------------------

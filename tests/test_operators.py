@@ -95,6 +95,10 @@ def test_similar_pairs_match_all_pairs(spark):
         near = [j for j in sorted(range(len(v)), key=lambda j: (-s[i, j], j)) if j != i and s[i, j] >= 0.8][:3]
         want |= {(min(i, j), max(i, j)) for j in near}
     assert got == want and want
+    filed = {(r["a"], r["b"]) for r in R.similar_pairs(df, 0.8, 4, lists=6, probes=6).collect()}
+    assert filed == want
+    some = {(r["a"], r["b"]) for r in R.similar_pairs(df, 0.8, 4, lists=6, probes=3).collect()}
+    assert len(some & want) >= 0.9 * len(want)
 
 
 def test_edge_features(spark):
