@@ -89,7 +89,8 @@ def digest(canonical: Column) -> Column:
 
 def known_table(spark: SparkSession, texts: dict[str, str]) -> DataFrame:
     """``known_id, known_digest`` of licence texts."""
-    rows = spark.createDataFrame(sorted(texts.items()), "known_id string, text string") if texts else spark.createDataFrame([], "known_id string, text string")
+    cells = F.array(*[F.struct(F.lit(k).alias("known_id"), F.lit(t).alias("text")) for k, t in sorted(texts.items())])
+    rows = spark.range(1).select(F.inline(cells.cast("array<struct<known_id:string,text:string>>")))
     return known_digests(rows)
 
 
