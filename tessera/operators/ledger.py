@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tessera.functions.text import file_to_doi
@@ -27,7 +26,9 @@ def to_download(ledger: DataFrame) -> DataFrame:
 
 
 def last_row(ledger: DataFrame, order: str, key: str = "doi") -> DataFrame:
-    return ledger.withColumn("__n", F.row_number().over(W.partitionBy(key).orderBy(F.col(order).desc()))).where("__n = 1").drop("__n")
+    """The last row of each key; an aggregate, so a key with very many rows is folded before the shuffle."""
+    best = ledger.groupBy(F.col(key).alias("__k")).agg(F.max_by(F.struct(*ledger.columns), F.struct(order)).alias("__s"))
+    return best.select("__s.*")
 
 
 def to_process(files: DataFrame, ledger: DataFrame, order: str, name: str = "file_name") -> DataFrame:
@@ -53,8 +54,9 @@ def status_counts(ledger: DataFrame, column: str) -> DataFrame:
 
 
 def keep_first(rows: DataFrame, key: str, *order: str) -> DataFrame:
-    """The first row of each key in a stated order."""
-    return rows.withColumn("__n", F.row_number().over(W.partitionBy(key).orderBy(*order))).where("__n = 1").drop("__n")
+    """The first row of each key in a stated order; an aggregate, as in ``last_row``."""
+    best = rows.groupBy(F.col(key).alias("__k")).agg(F.min_by(F.struct(*rows.columns), F.struct(*order)).alias("__s"))
+    return best.select("__s.*")
 
 
 def enrich(left: DataFrame, right: DataFrame, key: str, value: str, order: str) -> DataFrame:

@@ -19,9 +19,9 @@ def small(df: DataFrame, rows: int = MAP_ROWS) -> DataFrame:
 
 
 def one_per_key(table: DataFrame, key: str, order: str, keep: str = "last") -> DataFrame:
-    """One row per key: the first or the last by ``order``."""
-    by = F.col(order).asc() if keep == "first" else F.col(order).desc()
-    return table.withColumn("__n", F.row_number().over(W.partitionBy(key).orderBy(by))).where("__n = 1").drop("__n")
+    """One row per key: the first or the last by ``order``, folded before the shuffle."""
+    pick = F.min_by if keep == "first" else F.max_by
+    return table.groupBy(F.col(key).alias("__k0")).agg(pick(F.struct(*table.columns), F.struct(order)).alias("__s")).select("__s.*")
 
 
 def conversion_map(entries: DataFrame, keep: str = "last") -> DataFrame:
