@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from tessera.llm.textkit import load, map_texts, space_words
+from tessera.llm.textkit import bound_batches, load, map_texts, space_words
 from tessera.operators.components import connected_components
 from tessera.session import discard, materialize
 
@@ -57,7 +57,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 class Shingler:
     """Hashes of a text's distinct word shingles; word hashes are remembered."""
 
-    def __init__(self, size: int, words: Callable[[str | None], list[bytes]] = space_words, remember: int = 1 << 18):
+    def __init__(self, size: int, words: Callable[[str | None], list[bytes]] = space_words, remember: int = 1 << 16):
         self.size, self.words, self.remember = size, words, remember
         self.seen: dict[bytes, int] = {}
 
@@ -112,8 +112,8 @@ class MinMaxSigner:
 LONGS = T.ArrayType(T.LongType())
 
 
-def signatures(docs: DataFrame, text: str, size: int, words: Callable = space_words, prefix: str = "") -> DataFrame:
-    """Append the set's size, two 64-bit digests of the set, and the band keys."""
+def signatures(docs: DataFrame, text: str, size: int, words: Callable = space_words) -> DataFrame:
+    """Replace the text by its set's size, two 64-bit digests of the set, and the band keys."""
 
     def make() -> Callable:
         shingle, signer = Shingler(size, words), MinMaxSigner()
@@ -132,7 +132,7 @@ def signatures(docs: DataFrame, text: str, size: int, words: Callable = space_wo
         return run
 
     new = [("n_shingles", T.LongType()), ("set_a", T.LongType()), ("set_b", T.LongType()), ("bands", LONGS)]
-    return map_texts(docs, text, [(prefix + n, t) for n, t in new], make)
+    return map_texts(docs, text, new, make, keep_text=False)
 
 
 def shingle_sets(docs: DataFrame, text: str, size: int, words: Callable = space_words) -> DataFrame:
@@ -140,7 +140,7 @@ def shingle_sets(docs: DataFrame, text: str, size: int, words: Callable = space_
         shingle = Shingler(size, words)
         return lambda texts: ([shingle(t).view(np.int64) for t in texts],)
 
-    return map_texts(docs, text, [("shingles", LONGS)], make, rows=128)
+    return map_texts(docs, text, [("shingles", LONGS)], make, rows=128, keep_text=False)
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -161,7 +161,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     spark = docs.sparkSession
     keep: list[str] = []
     base = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
-    signed = materialize(signatures(base, "text", size, words).drop("text"), "minmax")
+    signed = materialize(signatures(base, "text", size, words), "minmax")
     linkable = signed.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
 
     # Equal sets: one representative each, found by a partial aggregate.
@@ -173,7 +173,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
 
     wanted = members.select(F.col("rep").alias("doc_id")).distinct()
     candidates = base.join(wanted, "doc_id").select(F.col("doc_id").alias("rep"), "text")
-    sets = materialize(shingle_sets(candidates, "text", size, words).select("rep", "shingles"), "sets", keep)
+    sets = materialize(shingle_sets(candidates, "text", size, words), "sets", keep)
 
     first = members.where("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct()
     edges = verified(first, sets, percent).union(_same_id(linkable, reps))
@@ -230,6 +230,7 @@ def _block_links(large: DataFrame, sets: DataFrame, percent: int, keep: list[str
     inner = rows.where("component = main").withColumn("own", -F.pmod("h", "nm").cast("int") - 1)
     with_main = F.transform(F.sequence(F.lit(0), last), lambda i: F.struct(i.alias("i"), F.col("own").alias("j")))
     placed = outer.select("grp", "rep", "component", "own", F.explode(with_outer).alias("at")).union(inner.select("grp", "rep", "component", "own", F.explode(with_main).alias("at")))
+    bound_batches(large.sparkSession, BLOCK)
     placed = placed.select("grp", "at.i", "at.j", "rep", "component", "own").join(sets, "rep")
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:

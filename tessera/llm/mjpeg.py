@@ -286,7 +286,7 @@ def to_avi(docs: DataFrame, text: str = "text", out: str = "media") -> DataFrame
 
         return run
 
-    return map_texts(docs, text, [("n_bytes", T.LongType()), (out, T.BinaryType())], make, rows=32).drop(text)
+    return map_texts(docs, text, [("n_bytes", T.LongType()), (out, T.BinaryType())], make, rows=32, keep_text=False)
 
 
 def read_avi(files: DataFrame, media: str = "media") -> DataFrame:
@@ -312,7 +312,7 @@ def read_avi(files: DataFrame, media: str = "media") -> DataFrame:
 
         return run
 
-    return map_texts(files, media, new, make, rows=32).drop(media)
+    return map_texts(files, media, new, make, rows=32, keep_text=False)
 
 
 def clip_rows(read: DataFrame, key: str = "doc_id") -> DataFrame:

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm.minmax_dedup import mix
-from tessera.llm.textkit import alnum_words, arrow_schema, load
+from tessera.llm.textkit import alnum_words, arrow_schema, bound_batches, load
 from tessera.session import materialize
 
 SENTENCES, WORDS, LONG = 3, 20, 24
@@ -124,6 +124,7 @@ def run_rows(docs: DataFrame) -> DataFrame:
                         c.append(x)
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), type=f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
 
+    bound_batches(docs.sparkSession)
     return docs.mapInArrow(make, RUN)
 
 
@@ -175,6 +176,7 @@ def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "text", pre
                 columns[where] = pa.array(kept, type=target.field(where).type)
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(gone, pa.int64()), part.column(len(names) + 1)], names=schema.names)
 
+    bound_batches(docs.sparkSession)
     return joined.mapInArrow(make, schema)
 
 

@@ -38,20 +38,36 @@ def arrow_schema(schema: T.StructType) -> pa.Schema:
     return to_arrow_schema(schema)
 
 
+#: Rows of an Arrow batch at most: texts may be long, and a batch exists in the JVM and in Python, on the way in and out.
+BATCH_ROWS = 1024
+
+
+def bound_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """Lower the session's Arrow batch size to ``rows`` if it is larger."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key, "10000"))
+    if now <= 0 or now > rows:
+        spark.conf.set(key, str(rows))
+
+
 def map_texts(
     df: DataFrame,
     text: str,
     new: list[tuple[str, T.DataType]],
     make: Callable[[], Callable[[list[str | None]], Iterable[list]]],
-    rows: int = 512,
+    rows: int = 256,
+    keep_text: bool = True,
 ) -> DataFrame:
     """Append columns that a Python function computes from a text column.
 
     ``make()`` runs once per task and returns ``f(texts) -> columns``.  Batches are
     re-sliced to ``rows`` so that memory follows a few hundred texts, not a whole
-    Arrow batch.  All other columns pass through untouched as Arrow buffers.
+    Arrow batch.  All other columns pass through untouched as Arrow buffers; the text
+    itself does unless ``keep_text`` is off.
     """
-    schema = T.StructType(list(df.schema.fields) + [T.StructField(n, t, True) for n, t in new])
+    bound_batches(df.sparkSession)
+    kept = [i for i, c in enumerate(df.columns) if keep_text or c != text]
+    schema = T.StructType([df.schema.fields[i] for i in kept] + [T.StructField(n, t, True) for n, t in new])
     where = df.columns.index(text)
     kinds = [arrow_schema(T.StructType([T.StructField(n, t)])).field(0).type for n, t in new]
     names = schema.names
@@ -63,6 +79,6 @@ def map_texts(
                 part = batch.slice(at, rows)
                 out = f(part.column(where).to_pylist())
                 extra = [pa.array(c, type=k) for c, k in zip(out, kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays([*part.columns, *extra], names=names)
+                yield pa.RecordBatch.from_arrays([*(part.column(i) for i in kept), *extra], names=names)
 
     return df.mapInArrow(run, schema)
