@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm.textkit import held_out, load, map_texts
+from tessera.session import materialize
 
 BINS = 1 << 22
 FEATURES = 4096
@@ -98,7 +99,7 @@ class Linear:
 
     def score(self, text: str | None) -> float:
         total, known, weights = self.base, self.words, self.weights
-        if len(known) > 500_000:
+        if len(known) > 1 << 16:
             known.clear()
         for w in sorted(words_of(text)):  # a fixed order of summation: reruns agree to the last bit
             v = known.get(w)
@@ -142,23 +143,32 @@ def fit_weights(x: _Sparse, y: np.ndarray, pairs: _Sparse, penalty: float = PENA
     return w[:-1], float(w[-1])
 
 
+PICKS = 1 << 30
+
+
+def picked(id_text: str) -> F.Column:
+    """A number below PICKS that a hash of the id gives."""
+    return F.pmod(F.xxhash64(F.col(id_text).cast("string"), F.lit("toxicity")), F.lit(PICKS))
+
+
 def train(rows: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "toxic", groups: tuple = IDENTITY_TERMS, penalty: float = PENALTY, bound: int = TRAIN_ROWS, features: int = FEATURES) -> Linear:
     """Fit on a bounded sample of labelled rows ``(id, text, label)``."""
     use = rows.where(F.col(label).isNotNull()).select(F.col(id_col).cast("string").alias("i"), F.col(text).alias("text"), (F.col(label) > 0).cast("int").alias("y"))
-    total, positive = use.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
-    if not total or positive in (0, total):
-        share = (positive + 1) / (total + 2)
+    sample = use.withColumn("pick", picked("i"))
+    total = use.count()
+    if total > 1.1 * bound:
+        sample = sample.where(F.col("pick") < int(bound / total * PICKS))
+    # The sample is bounded and read three times; written, its join is made once.
+    sample = materialize(sample, "labelled")
+    n, pos = sample.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
+    if pos in (0, n):
+        share = (pos + 1) / (n + 2)
         return Linear(np.zeros(0, np.int64), np.zeros(0), float(np.log(share / (1 - share))))
-    pick = F.pmod(F.xxhash64("i", F.lit("toxicity")), F.lit(1 << 30))
-    sample = use.withColumn("pick", pick).where(F.col("pick") < int(min(1.0, bound / total) * (1 << 30)))
 
     def make() -> Callable:
         return lambda texts: tuple(zip(*map(text_bins, texts), strict=True)) if texts else ([], [])
 
-    binned = map_texts(sample, "text", [("bins", T.ArrayType(T.IntegerType())), ("counts", T.ArrayType(T.IntegerType()))], make)
-    n, pos = sample.agg(F.count("*"), F.sum("y")).first()
-    if not n or pos in (0, n, None):
-        return Linear(np.zeros(0, np.int64), np.zeros(0), float(np.log((positive + 1) / (total - positive + 1))))
+    binned = map_texts(sample, "text", [("bins", T.ArrayType(T.IntegerType())), ("counts", T.ArrayType(T.IntegerType()))], make, keep_text=False)
     seen = binned.select("y", F.explode("bins").alias("bin")).groupBy("bin").agg(F.count("*").alias("d"), F.sum("y").alias("p")).where("d >= 3")
     # Chi-square of the feature against the label, from the four counts; only features that speak for label 1 well beyond chance.
     lead = F.col("p") * float(n) - F.col("d") * float(pos)
@@ -205,7 +215,7 @@ def _fit(sample: DataFrame, place: dict[int, int], groups: tuple, penalty: float
 
     ints, doubles = T.ArrayType(T.IntegerType()), T.ArrayType(T.DoubleType())
     new = [("idx", ints), ("val", doubles), ("pair_idx", T.ArrayType(ints)), ("pair_val", T.ArrayType(doubles))]
-    rows = map_texts(sample, "text", new, make).drop("text").orderBy("pick", "i").toPandas()
+    rows = map_texts(sample, "text", new, make, keep_text=False).orderBy("pick", "i").toPandas()
     x = _Sparse(zip(rows["idx"], rows["val"], strict=True), len(place))
     few = rows.head(PAIR_ROWS)
     pairs = [(list(i), list(v)) for di, dc in zip(few["pair_idx"], few["pair_val"], strict=True) for i, v in zip(di, dc, strict=True)]
@@ -214,21 +224,24 @@ def _fit(sample: DataFrame, place: dict[int, int], groups: tuple, penalty: float
 
 
 def score(docs: DataFrame, model: Linear, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """Append ``score`` and ``predicted`` of every whole text."""
+    """Replace every whole text by its ``score`` and whether that is ``predicted`` toxic."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make() -> Callable:
         m = shared.value
         return lambda texts: ([m.score(t) for t in texts],)
 
-    return map_texts(docs, text, [("score", T.DoubleType())], make).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    return map_texts(docs, text, [("score", T.DoubleType())], make, keep_text=False).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     labels = load(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    model = train(docs.where(~held_out()).join(labels.where(~held_out()), "doc_id"))
-    return score(docs.select("doc_id", held_out().alias("held_out"), "text"), model).drop("text")
+    labels = labels.where(~held_out() & F.col("toxic").isNotNull())
+    # The bound is applied to both sides before they are joined, so no other text is moved.
+    few = F.coalesce(picked("doc_id") < int(min(1.0, TRAIN_ROWS / max(1, labels.count())) * PICKS), F.lit(False))
+    model = train(docs.where(~held_out() & few).join(labels.where(few), "doc_id"))
+    return score(docs.select("doc_id", held_out().alias("held_out"), "text"), model)
 
 
 QUERIES = {"op9_toxicity": op9_toxicity}
