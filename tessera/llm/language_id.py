@@ -28,9 +28,9 @@ from tessera.llm.textkit import held_out, load, map_texts
 MAX_ORDER = 4
 #: The classifier is fitted on whole documents of about this many characters in all, an equal share for each language,
 #: picked by a hash of their id.
-TRAIN_CHARS = 20_000_000
+TRAIN_CHARS = 10_000_000
 #: Bytes scored at once; bounds a task's memory for texts of any length.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 UND = "und"
 
 
@@ -177,7 +177,7 @@ def train(rows: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str
     return PPM.fit(texts, order)
 
 
-def identify(df: DataFrame, model: PPM, text: str = "text", prefix: str = "") -> DataFrame:
+def identify(df: DataFrame, model: PPM, text: str = "text", prefix: str = "", keep_text: bool = True) -> DataFrame:
     """Append ``lang_pred``, ``score`` and ``bits_per_byte`` of every whole text."""
     shared = df.sparkSession.sparkContext.broadcast(model)
 
@@ -185,13 +185,13 @@ def identify(df: DataFrame, model: PPM, text: str = "text", prefix: str = "") ->
         return shared.value.predict
 
     new = [(f"{prefix}lang_pred", T.StringType()), (f"{prefix}score", T.DoubleType()), (f"{prefix}bits_per_byte", T.DoubleType())]
-    return map_texts(df, text, new, make)
+    return map_texts(df, text, new, make, keep_text=keep_text)
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = train(docs.where(~held_out()))
-    return identify(docs.select("doc_id", held_out().alias("held_out"), "text"), model).drop("text")
+    return identify(docs.select("doc_id", held_out().alias("held_out"), "text"), model, keep_text=False)
 
 
 #: Texts for which even the best language's code is longer than raw bytes are not prose in a known language.
