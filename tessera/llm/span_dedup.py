@@ -4,15 +4,21 @@ A text is split into sentences at line ends and after ``. ! ?``; a sentence of m
 than ``LONG`` words is cut after words that a hash picks, so the cuts depend on the
 words around them alone.  Every run of at least ``SENTENCES`` consecutive sentences
 and ``WORDS`` words that is minimal to its right or to its left is hashed over
-lower-cased words.  Hashes meet in one global aggregate; a run's first place is the
-smallest document id, then the earliest position.  Sentences covered by any other
-occurrence are removed, so of a repeated passage exactly the first copy stays.
+lower-cased words.  Where ``REACH`` words in a row are not certain to hold such a run
+whatever stands around them, the ``SPAN`` words of the smallest hash among them are
+a run as well, and so is each whole text of ``WORDS`` words.  So any ``REACH`` words
+that two texts share hold a common run, wherever sentences end.
+
+Hashes meet in one global aggregate; a run's first place is the
+smallest document id, then the earliest position.  Words covered by any other
+occurrence are removed, so of a repeated passage exactly the first copy stays; of a
+passage pasted into a sentence up to ``REACH - WORDS`` words may stay at either end.
 
 Repeats inside a document are settled where the text is read, so each document
 sends a hash once, and the aggregate folds very frequent runs before its shuffle.
 
 Defined results: null and empty texts have no sentences and stay as they are;
-texts of fewer sentences or words than a run cannot repeat; rows with a null id
+texts of fewer words than a run cannot repeat; rows with a null id
 pass unchanged; rows that share an id count as one document, so neither is a
 repeat of the other; other columns pass through.
 """
@@ -35,8 +41,12 @@ from tessera.llm.textkit import alnum_words, arrow_schema, bound_batches, load
 from tessera.session import materialize
 
 SENTENCES, WORDS, LONG = 3, 20, 24
+#: A run of SPAN words and a run of sentences leave no gap between them in a shared passage while REACH is below WORDS + SPAN.
+SPAN, REACH = 26, 45
 _END = re.compile(r"[.!?]+(?=\s)|\n")
 _TOKEN = re.compile(r"\S+")
+#: What ``alnum_words`` takes as a word.
+_WORD = re.compile(r"[0-9A-Za-z\x80-\U0010ffff]+")
 _BASE = 0x9E3779B97F4A7C15
 
 
@@ -45,21 +55,28 @@ def sentences(text: str | None, long: int = LONG) -> list[tuple[int, int, list[b
 
     A stretch without words belongs to the sentence before it, at the start to the first one.
     """
-    if not text:
-        return []
+    return _split(text, long)[0]
+
+
+def _split(text: str | None, long: int = LONG) -> tuple[list[tuple[int, int, list[bytes]]], list[int]]:
+    """Sentences, long ones in pieces, and for each the number of the uncut sentence that it is part of."""
     out: list[tuple[int, int, list[bytes]]] = []
+    whole: list[int] = []
+    if not text:
+        return out, whole
     at = 0
 
     def add(to: int, words: list[bytes]) -> None:
         nonlocal at
         if words:
             out.append((at, to, words))
+            whole.append(number)
             at = to
         elif out:
             out[-1] = (out[-1][0], to, out[-1][2])
             at = to
 
-    for end in [*(m.end() for m in _END.finditer(text)), len(text)]:
+    for number, end in enumerate([*(m.end() for m in _END.finditer(text)), len(text)]):
         if end <= at:
             continue
         words = alnum_words(text[at:end])
@@ -69,7 +86,7 @@ def sentences(text: str | None, long: int = LONG) -> list[tuple[int, int, list[b
                     add(m.end(), alnum_words(text[at : m.end()]))
             words = alnum_words(text[at:end])
         add(end, words)
-    return out
+    return out, whole
 
 
 def runs(units: list[tuple[int, int, list[bytes]]], least: int = SENTENCES, words: int = WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -101,26 +118,76 @@ def _inverse_powers(n: int) -> np.ndarray:
     return np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(max(n - 1, 0), inverse, np.uint64))])[:n]
 
 
+def word_runs(units: list[tuple[int, int, list[bytes]]], whole: list[int], s: np.ndarray, e: np.ndarray, least: int = WORDS, words: int = SPAN, reach: int = REACH, long: int = LONG) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, first and last word of the runs of ``words`` words that sentences do not provide, and of a whole text of ``least``.
+
+    ``s, e`` are the sentence runs.  One of them spares a stretch of ``reach`` words if it lies inside, and
+    the stretch alone tells its borders: a border needs a word on both sides, a cut in a sentence more than ``long`` words of it.
+    """
+    tokens = [w for u in units for w in u[2]]
+    n = len(tokens)
+    if n < least:
+        return np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int32)
+    h = np.fromiter(map(xxhash.xxh64_intdigest, tokens), np.uint64, n)
+    head = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * _inverse_powers(n), dtype=np.uint64)])
+    start, size = np.zeros(1, np.int64), np.full(1, n)
+    if n >= reach:
+        count = np.concatenate([[0], np.cumsum([len(u[2]) for u in units])])
+        begin, end = (count[np.searchsorted(whole, whole, side=x)] for x in ("left", "right"))
+        # A run of sentences spares the stretches that begin from lo to hi.
+        lo = np.maximum(count[e + 1] + 1, np.minimum(end[e] + 1, begin[e] + long + 1)) - reach
+        hi = np.minimum(count[s] - 1, np.maximum(begin[s] - 1, end[s] - long - 1))
+        lo, hi = np.maximum(lo, 0), np.minimum(hi, n - reach)
+        some = lo <= hi
+        spared = np.cumsum(np.bincount(lo[some], minlength=n - reach + 2) - np.bincount(hi[some] + 1, minlength=n - reach + 2))
+        need = np.flatnonzero(spared[: n - reach + 1] == 0)
+        if len(need):
+            power = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n - words, _BASE, np.uint64)]))
+            value = mix((head[words:] - head[:-words]) * power)
+            # Of equal hashes the last one counts.
+            choice = reach - words
+            first = np.unique(need + choice - np.lib.stride_tricks.sliding_window_view(value, choice + 1)[need, ::-1].argmin(axis=1))
+            start, size = np.concatenate([first, start]), np.concatenate([np.full(len(first), words), size])
+    power = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(start.max(), _BASE, np.uint64)]))
+    value = (head[start + size] - head[start]) * power[start]
+    # Apart from runs of sentences, whose sizes are above zero.
+    return mix(value ^ mix((-size).astype(np.uint64))).view(np.int64), start.astype(np.int32), (start + size - 1).astype(np.int32)
+
+
+def all_runs(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, first and last word of all runs of a text, and which of them stood before in it."""
+    units, whole = _split(text)
+    h, s, e = runs(units)
+    again = np.ones(len(h), bool)
+    again[np.unique(h, return_index=True)[1]] = False
+    h2, s2, e2 = word_runs(units, whole, s, e)
+    count = np.concatenate([[0], np.cumsum([len(u[2]) for u in units])]).astype(np.int32)
+    _, at, which = np.unique(h2, return_index=True, return_inverse=True)
+    # Runs of words may overlap their own first copy ("the the the"), which stays.
+    return np.concatenate([h, h2]), np.concatenate([count[s], s2]), np.concatenate([count[e + 1] - 1, e2]), np.concatenate([again, s2 > e2[at][which]])
+
+
 RUN = T.StructType([
-    T.StructField("doc_id", T.LongType()), T.StructField("h", T.LongType()), T.StructField("s", T.IntegerType()),
-    T.StructField("e", T.IntegerType()), T.StructField("again", T.BooleanType()),
+    T.StructField("doc_id", T.LongType()), T.StructField("h", T.LongType()), T.StructField("place", T.LongType()),
 ])
 
 
 def run_rows(docs: DataFrame) -> DataFrame:
-    """A row for each run of each text; ``again`` marks those that the same text held before."""
+    """A row for each run of each text.
+
+    ``place`` holds the first word, the last word, and 1 if the same text held the run before, in 32, 31 and 1 bits:
+    one number is less to shuffle than three columns.
+    """
     schema = arrow_schema(RUN)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                cols: list[list[np.ndarray]] = [[], [], [], [], []]
+                cols: list[list[np.ndarray]] = [[], [], []]
                 for i, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    h, s, e = runs(sentences(t))
-                    first = np.zeros(len(h), bool)
-                    first[np.unique(h, return_index=True)[1]] = True
-                    for c, x in zip(cols, (np.full(len(h), i), h, s, e, ~first), strict=True):
+                    h, s, e, again = all_runs(t)
+                    for c, x in zip(cols, (np.full(len(h), i), h, s.astype(np.int64) << 32 | e.astype(np.int64) << 1 | again), strict=True):
                         c.append(x)
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), type=f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
 
@@ -128,26 +195,41 @@ def run_rows(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(make, RUN)
 
 
-SPANS = T.ArrayType(T.StructType([T.StructField("s", T.IntegerType()), T.StructField("e", T.IntegerType())]))
-
-
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, spans, first_doc_ids``: the runs to remove from each document, and where they stand first."""
+    """``doc_id, spans, first_doc_ids``: the places of runs to remove from each document, and where they stand first."""
     base = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
     found = materialize(run_rows(base), "runs")
-    once = found.where("not again")
+    once = found.where("place % 2 = 0")
     many = once.groupBy("h").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("h", "first")
-    later = found.join(many, "h").where("doc_id > first").select("doc_id", "s", "e", "first")
-    own = found.where("again").select("doc_id", "s", "e", F.col("doc_id").alias("first"))
-    spans = later.union(own).groupBy("doc_id", "s", "e").agg(F.min("first").alias("first"))
-    return spans.groupBy("doc_id").agg(F.collect_list(F.struct("s", "e")).alias("spans"), F.array_sort(F.collect_set("first")).alias("first_doc_ids"))
+    # A run that repeats only inside its document is first there; the left join keeps it.
+    spans = found.join(many, "h", "left").select("doc_id", "place", F.coalesce(F.least("first", "doc_id"), "doc_id").alias("first")).where("place % 2 = 1 or first < doc_id")
+    return spans.groupBy("doc_id").agg(F.collect_list("place").alias("spans"), F.array_sort(F.collect_set("first")).alias("first_doc_ids"))
 
 
 def without(text: str, spans: list) -> tuple[int, str]:
-    """How many sentences go, and the text that stays."""
+    """How many sentences lose words or go, and the text that stays.
+
+    A word reaches to the next one, the first and last of a sentence to its borders.
+    """
     units = sentences(text)
-    gone = {i for x in spans for i in range(x["s"], x["e"] + 1)}
-    return len(gone), "".join(text[a:b] for i, (a, b, _) in enumerate(units) if i not in gone).strip()
+    count = np.concatenate([[0], np.cumsum([len(u[2]) for u in units])])
+    change = np.zeros(count[-1] + 1, np.int64)
+    place = np.asarray(spans, np.int64)
+    np.add.at(change, place >> 32, 1)
+    np.add.at(change, ((place & 0xFFFFFFFF) >> 1) + 1, -1)
+    gone = np.cumsum(change)[:-1] > 0
+    kept: list[str] = []
+    n = 0
+    for (a, b, _), at, to in zip(units, count[:-1].tolist(), count[1:].tolist(), strict=True):
+        part = gone[at:to]
+        if not part.any():
+            kept.append(text[a:b])
+            continue
+        n += 1
+        if not part.all():
+            begin = [a, *[a + m.start() for m in _WORD.finditer(text[a:b])][1:], b]
+            kept.extend(text[begin[i] : begin[i + 1]] for i in np.flatnonzero(~part).tolist())
+    return n, "".join(kept).strip()
 
 
 def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "text", prefix: str = "") -> DataFrame:

@@ -255,6 +255,45 @@ def test_sentences_cover_the_text_and_runs_match_brute_force():
         assert set(h.tolist()) <= set(again[0].tolist()) | set(h.tolist()) and len(set(h.tolist()) & set(again[0].tolist())) >= len(set(h.tolist())) - 3
 
 
+def common_words(a, b):
+    """Words of text b that runs shared with a cover."""
+    known = set(span_dedup.all_runs(a)[0].tolist())
+    h, s, e, _ = span_dedup.all_runs(b)
+    return {i for k, x, y in zip(h.tolist(), s.tolist(), e.tolist(), strict=True) if k in known for i in range(x, y + 1)}
+
+
+@pytest.mark.parametrize("every", [0, 5, 11, 22])
+def test_passages_at_random_offsets_share_a_run(every):
+    rng = random.Random(every)
+
+    def prose(n):
+        out = words(rng, n, "abcdefghijklmnop", 9).split()
+        at = rng.randrange(1, every + 1) if every else n
+        while at < n:
+            out[at] += "."
+            at += rng.randrange(max(every - 3, 1), every + 4)
+        return out
+
+    for size in (45, 51, 60, 120):
+        for _ in range(60):
+            passage = prose(size)
+            left = [prose(rng.randrange(1, 60)) for _ in range(2)]
+            a, b = (" ".join(x + passage + prose(rng.randrange(1, 60))) for x in left)
+            at = len(left[1])
+            got = sorted(common_words(a, b) & set(range(at, at + size)))
+            assert got and got[0] - at <= 25 and at + size - 1 - got[-1] <= 25
+            assert size < 100 or got == list(range(got[0], got[-1] + 1))
+
+
+def test_cuts_in_passages_laid_out_against_the_sentences():
+    rng = random.Random(11)
+    for _ in range(100):
+        parts = [words(rng, n, "abcdefghijklmnop", 9) for n in (14, 22, 22, 14)]
+        passage = ". ".join(parts)
+        a, b = (f"{words(rng, 9)} {passage} {words(rng, 9)}" for _ in range(2))
+        assert len(common_words(a, b)) >= 26
+
+
 # ---- 6 ------------------------------------------------------------------------------
 
 
