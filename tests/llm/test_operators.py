@@ -294,6 +294,19 @@ def test_cuts_in_passages_laid_out_against_the_sentences():
         assert len(common_words(a, b)) >= 26
 
 
+def test_copies_of_few_sentences_go(spark):
+    rng = random.Random(10)
+    unpicked = [w for w in {words(rng, 1, "abcdefghijklmnop", 9) for _ in range(3000)} if zlib.crc32(w.encode()) % 8]
+    one, two, short = (" ".join(rng.choice(unpicked) for _ in range(n)) for n in (160, 55, 20))
+    two = two.replace(" ", ". ", 1)
+    rows = [(1, one), (2, one), (3, f"({two})"), (4, f"({two})"), (5, short), (6, short), (7, short[: short.rindex(" ")]), (8, "the " * 200), (9, "x " + "the " * 150), (10, f"start {one} end")]
+    got = {r["doc_id"]: r for r in span_dedup.dedup_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[i]["text"] for i in (1, 3, 5, 7)] == [dict(rows)[i] for i in (1, 3, 5, 7)]
+    assert [(got[i]["text"], got[i]["first_doc_ids"]) for i in (2, 4, 6)] == [("", [1]), ("", [3]), ("", [5])]
+    assert 26 <= got[8]["text"].split().count("the") <= 60 and got[9]["text"].split().count("the") < 26
+    assert got[10]["text"].startswith("start") and got[10]["text"].endswith("end") and len(got[10]["text"].split()) <= 2 + 2 * 25
+
+
 # ---- 6 ------------------------------------------------------------------------------
 
 
