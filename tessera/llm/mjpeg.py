@@ -11,7 +11,7 @@ bit-by-bit path for tables that lack that property.
 The reader walks the RIFF chunks, takes frames by the ``idx1`` entries (or by
 walking ``movi`` where there is no index), and cuts shots where the histogram
 difference of neighbouring frames exceeds ``mean + SIGMA * deviation`` of the
-differences in a sliding window, and ``FLOOR`` at least.
+other differences in a sliding window, or ``SURE``, and ``FLOOR`` at least.
 
 Defined results: a null or empty text is one frame of blanks; equal texts give
 equal files; broken files raise ``ValueError``.
@@ -34,6 +34,8 @@ from tessera.llm.textkit import load, map_texts
 WIDTH, HEIGHT, FPS = 16, 12, 25
 UNIT = WIDTH * HEIGHT
 WINDOW, SIGMA, FLOOR = 8, 2.0, 0.5
+#: A difference above this always cuts, however many cuts lie around it; frames without a bin in common differ by 2.
+SURE = 1.5
 _SOI, _EOI, _SOF3, _DHT, _SOS = 0xD8, 0xD9, 0xC3, 0xC4, 0xDA
 #: Codes of lengths 1 to 9 for the categories 8 down to 0.
 _LENGTHS, _VALUES = bytes([1] * 9 + [0] * 7), bytes(range(8, -1, -1))
@@ -248,20 +250,27 @@ class Avi:
             at += 8 + size + size % 2
 
 
-def shots(frames: np.ndarray, window: int = WINDOW, sigma: float = SIGMA, floor: float = FLOOR) -> list[int]:
-    """First frames of the shots, by adaptive histogram differences (16 bins)."""
+def shots(frames: np.ndarray, window: int = WINDOW, sigma: float = SIGMA, floor: float = FLOOR, sure: float = SURE, tail: int = 0) -> list[int]:
+    """First frames of the shots, by adaptive histogram differences (16 bins).
+
+    A difference is judged by those around it, without itself; one that stands alone by ``floor``.
+    The last ``tail`` samples of the last frame are padding and do not count.
+    """
     n = len(frames)
     if n < 2:
         return [0] if n else []
     bins = (frames.reshape(n, -1) >> 4).astype(np.int64) + 16 * np.arange(n)[:, None]
-    hist = np.bincount(bins.ravel(), minlength=16 * n).reshape(n, 16) / frames[0].size
+    bins, size = bins.ravel(), np.full((n, 1), frames[0].size)
+    size[-1] -= tail
+    hist = np.bincount(bins[: len(bins) - tail], minlength=16 * n).reshape(n, 16) / size
     diff = np.abs(np.diff(hist, axis=0)).sum(axis=1)
     one, two = (np.concatenate([[0.0], np.cumsum(x)]) for x in (diff, diff * diff))
     k = np.arange(len(diff))
     lo, hi = np.maximum(k - window, 0), np.minimum(k + window + 1, len(diff))
-    m = (one[hi] - one[lo]) / (hi - lo)
-    dev = np.sqrt(np.maximum((two[hi] - two[lo]) / (hi - lo) - m * m, 0))
-    return [0, *(np.flatnonzero((diff > m + sigma * dev + 1e-9) & (diff >= floor)) + 1).tolist()]
+    others = np.maximum(hi - lo - 1, 1)
+    m = (one[hi] - one[lo] - diff) / others
+    dev = np.sqrt(np.maximum((two[hi] - two[lo] - diff * diff) / others - m * m, 0))
+    return [0, *(np.flatnonzero((diff > np.minimum(m + sigma * dev + 1e-9, sure)) & (diff >= floor)) + 1).tolist()]
 
 
 def payload_of(text: str | None) -> tuple[int, bytes]:
@@ -302,7 +311,8 @@ def read_avi(files: DataFrame, media: str = "media") -> DataFrame:
                     avi = Avi(b)
                     frames = decode_frames(avi.frames)
                     data = frames.tobytes()
-                    starts = shots(frames)
+                    blanks = len(data) - len(data.rstrip(b" "))
+                    starts = shots(frames, tail=blanks if blanks < UNIT else 0)
                     ends = [*starts[1:], len(frames)]
                     clips = [{"clip": i, "start_frame": s, "frames": e - s, "start_s": s / avi.fps, "end_s": e / avi.fps} for i, (s, e) in enumerate(zip(starts, ends, strict=False))]
                     row = (len(data), hashlib.sha256(data).hexdigest(), zlib.crc32(data[-16:]), len(b), hashlib.sha256(b).hexdigest(), clips)

@@ -344,6 +344,21 @@ def test_media_rows(spark):
     assert mjpeg.read_avi(mjpeg.to_avi(df.limit(0))).count() == 0
 
 
+def test_shots_of_short_clips_and_dense_cuts():
+    black, white = np.zeros((12, 16), np.uint8), np.full((12, 16), 255, np.uint8)
+    for n in range(2, 30):
+        for at in range(1, n):
+            assert mjpeg.shots(np.stack([black] * at + [white] * (n - at))) == [0, at]
+    for every in range(1, 8):
+        frames = np.stack([(black, white)[i // every % 2] for i in range(60)])
+        assert mjpeg.shots(frames) == list(range(0, 60, every))
+    short = np.stack([black, black])
+    short[1, 1:] = 32
+    assert mjpeg.shots(short) == [0, 1] and mjpeg.shots(short, tail=11 * 16) == [0]
+    rng = np.random.default_rng(1)
+    assert all(mjpeg.shots(rng.integers(0, 64, (n, 12, 16), dtype=np.uint8)) == [0] for n in range(1, 40))
+
+
 # ---- 7 ------------------------------------------------------------------------------
 
 
