@@ -4,34 +4,40 @@ Writing: a record ends with two line ends, so Spark's text writer with that line
 separator writes valid uncompressed WARC 1.1 files, with Spark's own commit
 protocol.  Of records with equal payloads of at least ``min_bytes`` bytes, that with
 the smallest page id is the response; the others are revisits without a payload.
+Digests are computed twice, by expressions, so that only digests and ids are
+shuffled to find the repeated ones; payloads are written where they are read.
 
 Reading: a pass over the files in blocks writes one index row per record (file,
-offset, length, type, page id, URL, digest, payload length) without keeping
+offset, length, type, record id, page id, URL, digest) without keeping
 payloads.  Selected records are grouped by file and by offset range, sorted, and
 neighbours no more than ``GAP`` bytes apart are fetched in one read of at most
 ``READ`` bytes (a longer record is read alone).  Every payload is held against
-its digest.
+its digest.  Archives of other writers can be read too: records of any type and id, and files
+of gzip members, one a record.
 
 Defined results: a null html is an empty payload; rows that tie on the smallest
 page id of a payload are each a response; a null page id is never the smallest
-unless all are null; a null URL is written as empty and read back as null;
-an empty table gives no rows.
+unless all are null; a null URL is written as empty and read back as null; a foreign
+record id gives a null page id, a record without a digest a null ``intact``; a payload of any length that one
+string may have is written and read whole; an empty table gives no rows; other columns of the pages are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import re
+import zlib
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyarrow import fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.textkit import arrow_schema, load, map_texts
-from tessera.session import materialize, new_path
+from tessera.llm.textkit import arrow_schema, load
+from tessera.session import discard, materialize, new_path
 
 END = "\r\n\r\n"
 GAP, READ = 64 << 10, 4 << 20
@@ -45,21 +51,34 @@ def base32_sha1(data: bytes) -> str:
     return base64.b32encode(hashlib.sha1(data).digest()).decode()
 
 
-def digests(pages: DataFrame, html: str) -> DataFrame:
-    def make() -> Callable:
-        return lambda texts: ([len((t or "").encode()) for t in texts], [base32_sha1((t or "").encode()) for t in texts])
+#: A table looked up by digest is broadcast up to this size, at DIGEST_BYTES a row; beyond it, it is joined by a shuffle.
+BROADCAST_BYTES, DIGEST_BYTES = 32 << 20, 128
+#: Parts into which a digest's rows are dealt where they are shuffled, as one payload may be that of very many pages.
+SALTS = 16
 
-    return map_texts(pages, html, [("payload_bytes", T.LongType()), ("payload_digest", T.StringType())], make)
+
+def payload_digest(payload: Column) -> Column:
+    """SHA-1 in upper-case base32: 10 hexadecimal digits are 8 of base 32."""
+    digits = F.sha1(payload)
+    parts = [F.lpad(F.conv(F.substring(digits, at, 10), 16, 32), 8, "0") for at in range(1, 41, 10)]
+    return F.translate(F.concat(*parts), "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
+
+
+def look_up(rows: DataFrame, table: DataFrame, digest: str, salt: str) -> DataFrame:
+    """Left join of ``rows`` with a written table of one row for each ``__digest``; ``salt`` deals out the rows of a digest."""
+    if table.count() * DIGEST_BYTES <= BROADCAST_BYTES:
+        return rows.join(F.broadcast(table), F.col(digest) == F.col("__digest"), "left")
+    salted = table.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.join(salted, (F.col(digest) == F.col("__digest")) & (F.pmod(F.xxhash64(salt), F.lit(SALTS)) == F.col("__salt")), "left").drop("__salt")
 
 
 def write_warc(pages: DataFrame, path: str, page_id: str = "page_id", url: str = "url", html: str = "html", min_bytes: int = 0) -> None:
     """Write a record per row below ``path``, one WARC file per partition."""
     rows = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.coalesce(F.col(html), F.lit("")).alias("html"))
-    rows = digests(rows, "html")
-    # Digest and length decide; the text itself is not shuffled to find the first of equal payloads.
-    first = materialize(rows.drop("html", "url"), "digests").groupBy("payload_digest", "payload_bytes").agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
-    first = first.where((F.col("n") > 1) & (F.col("payload_bytes") >= min_bytes)).select(F.col("payload_digest").alias("__digest"), F.col("payload_bytes").alias("__bytes"), "first")
-    joined = rows.join(first, (F.col("payload_digest") == F.col("__digest")) & (F.col("payload_bytes") == F.col("__bytes")), "left")
+    rows = rows.withColumn("payload_digest", payload_digest(F.col("html")))
+    repeated = rows.where(F.octet_length("html") >= min_bytes).groupBy(F.col("payload_digest").alias("__digest")).agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
+    repeated = materialize(repeated.where("n > 1").drop("n"), "repeated", kept := [])
+    joined = look_up(rows, repeated, "payload_digest", "page_id")
     revisit = F.col("__digest").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     name = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.lit("")), F.lit(">"))
     line = lambda k, v: F.concat(F.lit(f"{k}: "), v, F.lit("\r\n"))
@@ -79,15 +98,19 @@ def write_warc(pages: DataFrame, path: str, page_id: str = "page_id", url: str =
         body,
     )
     joined.select(record.alias("value")).write.option("lineSep", END).text(path)
+    discard(pages.sparkSession, kept)
+
 
+#: Schemes of Hadoop's file systems that Arrow knows by another name.
+SCHEMES = {"s3a": "s3", "s3n": "s3"}
 
-def _open(path: str):
-    """A random-access file; ``path`` is a URI of any file system that Arrow reaches, or a local path."""
-    if "://" not in path and not path.startswith("file:"):
-        return pafs.LocalFileSystem().open_input_file(path)
-    if path.startswith("file:"):
-        return pafs.LocalFileSystem().open_input_file("/" + path[5:].lstrip("/"))
-    system, rest = pafs.FileSystem.from_uri(path)
+
+def open_file(path: str):
+    """A random-access file by its URI on a file system that Arrow reaches (local, HDFS, S3, GCS), or a local path."""
+    scheme, mark, rest = path.partition("://")
+    if not mark:
+        return pafs.LocalFileSystem().open_input_file("/" + path.removeprefix("file:").lstrip("/"))
+    system, rest = pafs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}://{rest}")
     return system.open_input_file(rest)
 
 
@@ -99,7 +122,13 @@ def parse_head(head: bytes) -> dict[str, str]:
 
 
 def index_file(f, block: int = 1 << 20) -> Iterator[tuple]:
-    """(offset, length, head length, fields) of each record; payloads are skipped by seeking."""
+    """(offset, length, head length, fields) of each record; payloads are skipped by seeking.
+
+    In a file of gzip members, offsets and lengths are those of the members.
+    """
+    if f.read_at(2, 0) == GZIP:
+        yield from _index_members(f, block)
+        return
     size, at = f.size(), 0
     held, start = b"", 0
     while at < size:
@@ -123,27 +152,52 @@ def index_file(f, block: int = 1 << 20) -> Iterator[tuple]:
             held = held[:block]
 
 
+GZIP = b"\x1f\x8b"
+
+
+def _index_members(f, block: int) -> Iterator[tuple]:
+    size, at = f.size(), 0
+    while at < size:
+        member, head, pos, rest = zlib.decompressobj(31), b"", at, b""
+        while not member.eof:
+            data = rest or f.read_at(block, pos)
+            if not data:
+                raise ValueError(f"record at {at} is cut short")
+            pos += 0 if rest else len(data)
+            text = member.decompress(data, block)
+            rest = member.unconsumed_tail
+            if END.encode() not in head:  # no more than the head is kept
+                head += text
+        pos -= len(member.unused_data)
+        end = head.index(END.encode())
+        yield at, pos - at, end + 4, parse_head(head[:end])
+        at = pos
+
+
 INDEX = T.StructType([
     T.StructField("file", T.StringType()), T.StructField("offset", T.LongType()), T.StructField("length", T.LongType()), T.StructField("head", T.LongType()),
-    T.StructField("record_type", T.StringType()), T.StructField("page_id", T.LongType()), T.StructField("url", T.StringType()),
+    T.StructField("record_type", T.StringType()), T.StructField("record_id", T.StringType()), T.StructField("page_id", T.LongType()), T.StructField("url", T.StringType()),
     T.StructField("payload_digest", T.StringType()), T.StructField("refers_to", T.LongType()),
 ])
 
 
+_PAGE = re.compile(r"<urn:page:(-?\d+)>")
+
+
 def _page(name: str | None) -> int | None:
-    digits = (name or "")[len("<urn:page:") : -1]
-    return int(digits) if digits else None
+    found = _PAGE.fullmatch(name or "")
+    return int(found[1]) if found else None
 
 
 def list_files(spark: SparkSession, path: str) -> list[str]:
     """Paths of the archives below a folder, by the session's own file system; metadata only."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     found = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(target)
-    return sorted(s.getPath().toString() for s in found if s.getPath().getName().startswith("part-") and s.getLen() > 0)
+    return sorted(s.getPath().toString() for s in found if not s.getPath().getName().startswith(("_", ".")) and s.getLen() > 0)
 
 
-def build_index(spark: SparkSession, path: str) -> DataFrame:
-    """One row per record of the archives below ``path``."""
+def build_index(spark: SparkSession, path: str, opener: Callable = open_file) -> DataFrame:
+    """One row per record of the archives below ``path``; ``opener`` gives a file with ``size, seek, read, read_at`` for a path."""
     files = list_files(spark, path)
     schema = arrow_schema(INDEX)
 
@@ -154,9 +208,10 @@ def build_index(spark: SparkSession, path: str) -> DataFrame:
         for b in batches:
             for path in b.column(0).to_pylist():
                 rows: list[tuple] = []
-                with _open(path) as f:
+                with opener(path) as f:
                     for at, length, head, x in index_file(f):
-                        rows.append((path, at, length, head, x["warc-type"], _page(x["warc-record-id"]), x["warc-target-uri"] or None, x["warc-payload-digest"].removeprefix("sha1:"), _page(x.get("warc-refers-to"))))
+                        digest = x.get("warc-payload-digest", "").removeprefix("sha1:") or None
+                        rows.append((path, at, length, head, x["warc-type"], x["warc-record-id"], _page(x["warc-record-id"]), x.get("warc-target-uri") or None, digest, _page(x.get("warc-refers-to"))))
                         if len(rows) >= 4096:
                             yield batch(rows)
                             rows = []
@@ -184,7 +239,7 @@ def coalesce_ranges(places: list[tuple[int, int]], gap: int = GAP, most: int = R
     return reads
 
 
-def read_payloads(selected: DataFrame, with_payload: bool = True) -> DataFrame:
+def read_payloads(selected: DataFrame, with_payload: bool = True, opener: Callable = open_file) -> DataFrame:
     """Payloads of selected index rows: appends ``payload_bytes``, whether the digest ``intact``, and the ``payload``.
 
     Records of one file and offset range go to one task, sorted, so that each read is one range of the file.
@@ -201,13 +256,16 @@ def read_payloads(selected: DataFrame, with_payload: bool = True) -> DataFrame:
                 to = at
                 while to < len(rows) and rows[to]["file"] == rows[at]["file"]:
                     to += 1
-                with _open(rows[at]["file"]) as f:
+                with opener(rows[at]["file"]) as f:
                     for start, length, inside in coalesce_ranges([(r["offset"], r["length"]) for r in rows[at:to]]):
                         data = f.read_at(length, start)
                         out = []
                         for r in (rows[at + i] for i in inside):
-                            payload = data[r["offset"] - start + r["head"] : r["offset"] - start + r["length"] - len(END)]
-                            ok = base32_sha1(payload) == r["payload_digest"] if r["record_type"] == "response" else not payload
+                            record = data[r["offset"] - start : r["offset"] - start + r["length"]]
+                            if record[:2] == GZIP:
+                                record = zlib.decompress(record, 31)
+                            payload = record[r["head"] : -len(END)]
+                            ok = not payload if r["record_type"] == "revisit" else base32_sha1(payload) == r["payload_digest"] if r["payload_digest"] else None
                             out.append([*r.values(), len(payload), ok] + ([payload] if with_payload else []))
                         yield pa.RecordBatch.from_arrays([pa.array(c, type=t.type) for c, t in zip(zip(*out, strict=True), target, strict=True)], names=names)
                 at = to
@@ -219,14 +277,16 @@ def read_payloads(selected: DataFrame, with_payload: bool = True) -> DataFrame:
 
 
 def op8_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = new_path(spark, "warc")
+    path, kept = new_path(spark, "warc"), []
     write_warc(load(spark, sf_dir, "pages").select("page_id", "url", "html"), path)
-    index = materialize(build_index(spark, path), "warc-index")
-    read = materialize(read_payloads(index, with_payload=False), "warc-read")
+    index = materialize(build_index(spark, path), "warc-index", kept)
+    read = materialize(read_payloads(index, with_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact"), "warc-read")
+    discard(spark, [path, *kept])
     # A revisit's payload is that of the response with its digest.
-    held = read.where("record_type = 'response'").groupBy(F.col("payload_digest").alias("__digest")).agg(F.max("payload_bytes").alias("__bytes"))
-    whole = read.where("record_type = 'response'").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
-    again = read.where("record_type = 'revisit'").join(held, F.col("payload_digest") == F.col("__digest"), "left")
+    referred = read.where("record_type = 'revisit'").select("payload_digest").distinct()
+    held = read.where("record_type = 'response'").join(referred, "payload_digest", "left_semi").groupBy(F.col("payload_digest").alias("__digest")).agg(F.max("payload_bytes").alias("__bytes"))
+    whole = read.where("record_type = 'response'")
+    again = look_up(read.where("record_type = 'revisit'"), materialize(held, "held"), "payload_digest", "page_id")
     again = again.select("page_id", F.col("__bytes").alias("payload_bytes"), "payload_digest", "record_type", "refers_to", (F.col("intact") & F.col("__bytes").isNotNull()).alias("intact"))
     return whole.union(again)
 
