@@ -112,6 +112,49 @@ def test_tool_calls(spark):
     assert chat_tools.link_calls(calls.limit(0), results, schemas).count() == 0
 
 
+def brute_levels(edges):
+    deps = {}
+    for c, v, u in edges:
+        deps.setdefault((c, v), set()).add((c, u))
+    level = {n: 0 for s in deps.values() for n in s if n not in deps}
+    changed = True
+    while changed:
+        changed = False
+        for n in deps:
+            if n not in level and all(d in level for d in deps[n]):
+                level[n], changed = 1 + max(level[d] for d in deps[n]), True
+    return {n: k for n, k in level.items() if n in deps}
+
+
+def test_levels_match_brute_force(spark):
+    rng = random.Random(3)
+    edges = {("long", str(i + 1), str(i)) for i in range(300)}
+    for c in range(12):
+        n = rng.randrange(2, 20)
+        edges |= {(f"g{c}", str(v), str(rng.randrange(v))) for v in range(1, n) for _ in range(rng.choice([0, 1, 1, 2, 3]))}
+        if c % 3 == 0:
+            edges.add((f"g{c}", str(rng.randrange(n)), str(rng.randrange(n))))
+    edges |= {("ladder", str(i + 2), str(j)) for i in range(5) for j in (i, i + 1)}
+    edges |= {("ring", str(i), str((i + 1) % 40)) for i in range(40)} | {("ring", "z", "3"), ("ring", "y", "z"), ("self", "a", "a"), ("self", "b", "a")}
+    df = spark.createDataFrame(sorted(edges), "conv_id string, call_id string, needs string")
+    ids = df.select("conv_id", "call_id").union(df.select("conv_id", "needs")).distinct()
+    got = {(r["conv_id"], r["call_id"]): r["level"] for r in chat_tools.topo_levels(ids, df).collect()}
+    assert got == brute_levels(edges) and got["long", "300"] == 300
+    assert chat_tools.topo_levels(ids, df.limit(0)).count() == 0
+
+
+def test_turns_with_odd_roles_and_long_texts(spark):
+    rows = [(1, 0, None, "a"), (1, 1, "assistant", "b"), (1, 2, "user", "x" * 300_001), (1, 3, "assistant", None), (None, 0, "user", "q"), (2, None, "user", "q"), (2, 0, "user", None), (2, 0, "user", None)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("level", F.lit("clash"))
+    calls, results = chat_tools.turn_calls(df)
+    schemas = spark.createDataFrame([("user", "text", "string", True), ("user", "turn", "integer", True)], "tool string, field string, type string, required boolean")
+    got = {(r["conv_id"], r["call_id"]): r for r in chat_tools.link_calls(calls, results, schemas).collect()}
+    assert set(got) == {(1, "call_0"), (1, "call_2"), (2, "call_0")}
+    assert got[1, "call_0"]["errors"] == "unknown tool" and got[1, "call_0"]["status"] == "linked"
+    assert got[1, "call_2"]["topo_level"] == 1 and "x" * 300_001 in got[1, "call_2"]["canonical_json"]
+    assert got[2, "call_0"]["errors"] == "wrong type: text" and got[2, "call_0"]["status"] == "missing_result"
+
+
 # ---- 3 ------------------------------------------------------------------------------
 
 
@@ -402,6 +445,36 @@ def test_warc_round_trip(spark, tmp_path):
     assert warc.build_index(spark, plain).where("record_type = 'revisit'").count() == 0
 
 
+def test_foreign_archives(spark, tmp_path):
+    import gzip
+
+    def record(kind, ident, body, extra=""):
+        head = f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <urn:uuid:{ident}>\r\n{extra}Content-Length: {len(body)}\r\n\r\n"
+        return head.encode() + body + b"\r\n\r\n"
+
+    body = bytes(random.Random(4).randbytes(50_000))
+    records = [record("warcinfo", "0", b"software: x"), record("response", "1", body, f"WARC-Target-URI: http://a/\r\nWARC-Payload-Digest: sha1:{warc.base32_sha1(body)}\r\n"), record("metadata", "2", b"")]
+    (tmp_path / "plain").mkdir()
+    (tmp_path / "plain" / "a.warc").write_bytes(b"".join(records))
+    (tmp_path / "zip").mkdir()
+    (tmp_path / "zip" / "a.warc.gz").write_bytes(b"".join(map(gzip.compress, records)))
+    for folder in ("plain", "zip"):
+        index = warc.build_index(spark, f"file://{tmp_path}/{folder}")
+        got = warc.read_payloads(index).orderBy("offset").collect()
+        assert [(r["record_type"], r["record_id"], r["page_id"], r["url"], r["intact"]) for r in got] == [("warcinfo", "<urn:uuid:0>", None, None, None), ("response", "<urn:uuid:1>", None, "http://a/", True), ("metadata", "<urn:uuid:2>", None, None, None)]
+        assert bytes(got[1]["payload"]) == body and bytes(got[0]["payload"]) == b"software: x"
+
+
+def test_look_ups_by_shuffle(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "BROADCAST_BYTES", 0)
+    df = spark.createDataFrame([(i, "u", "same" if i % 3 else str(i)) for i in range(60)], "page_id long, url string, html string")
+    path = f"file://{tmp_path}/w"
+    warc.write_warc(df, path)
+    got = warc.read_payloads(warc.build_index(spark, path)).collect()
+    assert sorted(r["page_id"] for r in got) == list(range(60)) and all(r["intact"] for r in got)
+    assert {r["refers_to"] for r in got if r["record_type"] == "revisit"} == {1} and sum(r["record_type"] == "revisit" for r in got) == 39
+
+
 def test_ranges_are_coalesced():
     got = warc.coalesce_ranges([(0, 10), (10, 5), (100, 5), (300, 50)], gap=100, most=200)
     assert got == [(0, 105, [0, 1, 2]), (300, 50, [3])]
