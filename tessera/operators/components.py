@@ -14,13 +14,17 @@ from pyspark.sql import functions as F
 from tessera.session import discard, materialize
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """One star step. Edges are (u, v) with u > v."""
+def _star(edges: DataFrame, large: bool, kept: list[str]) -> DataFrame:
+    """One star step. Edges are (u, v) with u > v.
+
+    The smallest neighbours are written first, so the join with them has plain exchanges on both sides and a node with
+    very many neighbours can be split over tasks (AQE); where they are few they are broadcast and no edge moves.
+    """
     if large:
         sym = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     else:
         sym = edges.select("u", "v")
-    low = sym.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    low = materialize(sym.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "cc-low", kept)
     joined = sym.join(low, "u")
     if large:
         out = joined.where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -50,7 +54,8 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
         if seen[0] == 0:
             break
         old, kept = kept, []
-        now = materialize(_star(_star(now, True), False), "cc", kept)
+        wide = materialize(_star(now, True, old), "cc", old)
+        now = materialize(_star(wide, False, old), "cc", kept)
         discard(spark, old)
         new = _digest(now)
         if new == seen:
