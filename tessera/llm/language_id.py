@@ -11,26 +11,29 @@ one code length per language, and a batch needs one look-up per different window
 
 Defined results: null texts and texts without a letter are ``und`` with score 0;
 repeated rows score alike; ties go to the first language in code-point order;
-with no training rows every text is ``und``; other columns pass through.
+a language without text to learn from is never predicted; with no training rows every text is ``und``; a text
+of any length is scored in pieces; new columns replace others of their names, all other columns pass through.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.textkit import held_out, load, map_texts
+from tessera.llm.textkit import arrow_schema, held_out, load, map_texts
 
 MAX_ORDER = 4
 #: The classifier is fitted on whole documents of about this many characters in all, an equal share for each language,
 #: picked by a hash of their id.
 TRAIN_CHARS = 10_000_000
-#: Bytes scored at once; bounds a task's memory for texts of any length.
+#: Bytes counted at once, and bytes times languages scored at once; they bound a task's memory for texts of any length.
 CHUNK = 1 << 19
+CELLS = 1 << 21
 UND = "und"
 
 
@@ -53,6 +56,19 @@ def prepared(text: str) -> bytes:
     return text.lower().encode()
 
 
+def count_windows(texts: Iterable[str], order: int = MAX_ORDER) -> tuple[np.ndarray, np.ndarray]:
+    """Different windows of texts and how often each comes; a long text is counted in pieces."""
+    keys, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for text in texts:
+        data = np.frombuffer(bytes(order) + prepared(text), np.uint8)
+        for at in range(0, len(data) - order, CHUNK):
+            k, n = np.unique(windows(data[at : at + CHUNK + order], order), return_counts=True)
+            keys.append(k)
+            counts.append(n)
+    every, back = np.unique(np.concatenate(keys), return_inverse=True)
+    return every, np.bincount(back, weights=np.concatenate(counts), minlength=len(every)).astype(np.int64)
+
+
 class PPM:
     """Frozen context trees of all languages, as sorted arrays of packed contexts."""
 
@@ -61,13 +77,16 @@ class PPM:
         self.grams, self.codes, self.contexts, self.escapes = grams, codes, contexts, escapes
 
     @staticmethod
-    def fit(texts: dict[str, Iterator[str]], order: int = MAX_ORDER) -> PPM:
-        languages = sorted(texts)
-        pad = bytes(order)
-        counted: list[tuple[np.ndarray, np.ndarray]] = []
-        for lang in languages:
-            parts = [windows(np.frombuffer(pad + prepared(t), np.uint8), order) for t in texts[lang]]
-            counted.append(np.unique(np.concatenate(parts), return_counts=True) if parts else (np.zeros(0, np.uint64), np.zeros(0, np.int64)))
+    def fit(texts: dict[str, Iterable[str]], order: int = MAX_ORDER) -> PPM:
+        return PPM.of_counts({lang: count_windows(ts, order) for lang, ts in texts.items()}, order)
+
+    @staticmethod
+    def of_counts(found: dict[str, tuple[np.ndarray, np.ndarray]], order: int = MAX_ORDER) -> PPM:
+        """From each language's windows and how often they came; languages without any are left out, as they would code all at 8 bits a byte."""
+        languages = sorted(lang for lang, (keys, _) in found.items() if len(keys))
+        counted = [found[lang] for lang in languages]
+        if not languages:
+            return PPM([], order, [], [], [], [])
         grams, codes, contexts, escapes = [], [], [], []
         for k in range(order + 1):
             mask = np.uint64((1 << (8 * (k + 1))) - 1)
@@ -115,7 +134,7 @@ class PPM:
         pad = bytes(self.order)
         buffer: list[bytes] = []
         owner: list[tuple[int, int]] = []
-        held = 0
+        held, most = 0, max(1, CELLS // len(self.languages))
 
         def flush() -> None:
             nonlocal held
@@ -134,12 +153,12 @@ class PPM:
             data = prepared(text) if text else b""
             size[i] = len(data)
             data = pad + data
-            for at in range(0, len(data) - self.order, CHUNK):
-                piece = data[at : at + CHUNK + self.order]
+            for at in range(0, len(data) - self.order, most):
+                piece = data[at : at + most + self.order]
                 buffer.append(piece)
                 owner.append((i, len(piece) - self.order))
                 held += len(piece)
-                if held >= CHUNK:
+                if held >= most:
                     flush()
         flush()
         return total, size
@@ -161,20 +180,37 @@ class PPM:
         return lang, score, rate
 
 
+COUNTS = T.StructType([T.StructField("l", T.StringType()), T.StructField("key", T.LongType()), T.StructField("n", T.LongType())])
+
+
 def train(rows: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang", order: int = MAX_ORDER, bound: int = TRAIN_CHARS) -> PPM:
-    """Fit on a bounded sample of whole texts, chosen by a hash of the id."""
-    use = rows.where(F.col(text).isNotNull() & F.col(lang).isNotNull())
-    sizes = use.groupBy(lang).agg(F.sum(F.length(text)).alias("n")).collect()
-    share = bound / max(1, len(sizes))
-    rates = {r[lang]: min(1.0, share / max(1, r["n"])) for r in sizes}
-    if not rates:
-        return PPM([], order, [], [], [], [])
-    rate = F.create_map(*[F.lit(x) for kv in rates.items() for x in kv])
-    pick = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit("ppm")), F.lit(1 << 30)) / float(1 << 30)
-    texts: dict[str, list[str]] = {l: [] for l in rates}
-    for row in use.where(pick < rate[F.col(lang)]).select(F.col(lang).alias("l"), F.col(text).alias("t")).collect():
-        texts[row["l"]].append(row["t"])
-    return PPM.fit(texts, order)
+    """Fit on a bounded sample of whole texts, chosen by a hash of the id, at least one id for each language that has text.
+
+    Windows are counted where the texts are; the driver gets each language's different windows with their counts.
+    """
+    use = rows.select(F.col(f"`{id_col}`").cast("string").alias("i"), F.col(f"`{lang}`").alias("l"), F.col(f"`{text}`").alias("t")).where((F.length("t") > 0) & F.col("l").isNotNull())
+    pick = F.pmod(F.xxhash64("i", F.lit("ppm")), F.lit(1 << 30))
+    sizes = use.groupBy("l").agg(F.sum(F.length("t")).alias("n"), F.min(pick).alias("least")).collect()
+    if not sizes:
+        return PPM.of_counts({}, order)
+    share = bound / len(sizes)
+    limits = {r["l"]: max(int(min(1.0, share / r["n"]) * (1 << 30)), r["least"] + 1) for r in sizes}
+    limit = F.create_map(*[F.lit(x) for kv in limits.items() for x in kv])
+    schema = arrow_schema(COUNTS)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts: dict[str, list[str]] = {}
+            for l, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                texts.setdefault(l, []).append(t)
+            for l, ts in texts.items():
+                keys, n = count_windows(ts, order)
+                yield pa.RecordBatch.from_arrays([pa.array([l] * len(keys)), pa.array(keys.view(np.int64)), pa.array(n)], schema=schema)
+
+    counted = use.where(pick < limit[F.col("l")]).select("l", "t").mapInArrow(count, COUNTS).groupBy("l", "key").agg(F.sum("n").alias("n")).toArrow()
+    langs = counted.column("l").dictionary_encode().combine_chunks()
+    which, keys, n = langs.indices.to_numpy(), counted.column("key").to_numpy().view(np.uint64), counted.column("n").to_numpy()
+    return PPM.of_counts({l: (keys[order_], n[order_]) for j, l in enumerate(langs.dictionary.to_pylist()) for order_ in [np.flatnonzero(which == j)]}, order)
 
 
 def identify(df: DataFrame, model: PPM, text: str = "text", prefix: str = "", keep_text: bool = True) -> DataFrame:

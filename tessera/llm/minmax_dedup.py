@@ -19,7 +19,9 @@ is missed, and a large group of copies costs one comparison per member.
 
 Defined results: documents without words have an empty set, are linked with
 nothing and stay; rows with a null id are never linked (null component, kept);
-repeated ids are one document for linking and each row is returned.
+for ``near_duplicates`` repeated ids are one document and each row is returned, for ``one_of_each`` every
+row stands for itself; a text of any length is one set, held in memory in one task; other columns, whatever
+their names, are ignored by the first and passed through by the second.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from tessera.llm.textkit import bound_batches, load, map_texts, space_words
+from tessera.llm.textkit import load, map_texts, space_words
 from tessera.operators.components import connected_components
 from tessera.session import discard, materialize
 
@@ -153,52 +155,83 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where((100 + percent) * common >= percent * total).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80, words: Callable = space_words) -> DataFrame:
-    """Classes of documents linked by ``100 * |A & B| >= percent * |A | B|`` on shingles of ``size`` words.
+def link_sets(docs: DataFrame, id_col: str, text: str, size: int, percent: int, words: Callable, by_id: bool) -> tuple[DataFrame, DataFrame]:
+    """Signed rows ``doc_id, row, n_shingles, set_a, set_b`` and, for each set, its class ``set_a, set_b, doc_id, component``.
 
-    Returns one row per input row: ``doc_id, n_shingles, component_id, kept``.
+    A set's number in the linking is ``rep``; ``doc_id`` is the smallest id that has it, ``row`` the hash of a row's
+    text.  With ``by_id``, sets of rows that share an id are linked.
     """
     spark = docs.sparkSession
     keep: list[str] = []
-    base = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
+    base = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.xxhash64(F.col(f"`{text}`")).alias("row"), F.col(f"`{text}`").alias("text"))
     signed = materialize(signatures(base, "text", size, words), "minmax")
     linkable = signed.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
 
-    # Equal sets: one representative each, found by a partial aggregate.
-    reps = linkable.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"), F.max("bands").alias("bands"))
+    # Equal sets: one representative each, found by a partial aggregate and numbered as it is written.
+    reps = linkable.groupBy("set_a", "set_b").agg(F.min(F.struct("doc_id", "row")).alias("one"), F.max("n_shingles").alias("n"), F.max("bands").alias("bands"))
+    reps = reps.select(F.monotonically_increasing_id().alias("rep"), "set_a", "set_b", "one.doc_id", "one.row", "n", "bands")
     reps = materialize(reps, "reps", keep)
     rows = reps.select("rep", "n", F.explode("bands").alias("key"))
+    # Written, so that the join's sides are plain exchanges and a very large bucket can be split over tasks (AQE).
     shared = rows.groupBy("key").agg(F.min("rep").alias("hub"), F.count("*").alias("m")).where("m > 1").select("key", "hub")
-    members = materialize(rows.join(shared, "key").select("key", "rep", "n", "hub"), "buckets", keep)
+    members = materialize(rows.join(materialize(shared, "shared", keep), "key").select("key", "rep", "n", "hub"), "buckets", keep)
 
-    wanted = members.select(F.col("rep").alias("doc_id")).distinct()
-    candidates = base.join(wanted, "doc_id").select(F.col("doc_id").alias("rep"), "text")
+    wanted = reps.select("rep", "doc_id", "row").join(members.select("rep").distinct(), "rep")
+    # A repeated row is read once.
+    candidates = base.join(wanted, ["doc_id", "row"]).dropDuplicates(["doc_id", "row"]).select("rep", "text")
     sets = materialize(shingle_sets(candidates, "text", size, words), "sets", keep)
 
     first = members.where("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct()
-    edges = verified(first, sets, percent).union(_same_id(linkable, reps))
-    edges = materialize(edges, "links", keep)
+    edges = verified(first, sets, percent)
+    edges = materialize(edges.union(_same_id(linkable, reps)) if by_id else edges, "links", keep)
     component = connected_components(edges, "a", "b")
     labelled = members.join(component.select(F.col("id").alias("rep"), "component"), "rep", "left")
     labelled = materialize(labelled.withColumn("component", F.coalesce("component", "rep")), "labelled", keep)
     open_ = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("m")).where("lo < hi and m > 2").select("key", "m")
-    rest = materialize(labelled.join(open_, "key"), "open", keep)
+    rest = materialize(labelled.join(materialize(open_, "open", keep), "key"), "open", keep)
     found = verified(_small_pairs(rest.where(F.col("m") <= SMALL), percent), sets, percent)
     if not (large := rest.where(F.col("m") > SMALL)).isEmpty():
         found = found.union(_block_links(large, sets, percent, keep))
     found = materialize(found, "links", keep)
     if not found.isEmpty():
         component = connected_components(edges.union(found), "a", "b")
-
-    labels = component.select(F.col("id").alias("rep"), F.col("component").alias("c"))
-    classes = reps.select("set_a", "set_b", "rep").join(labels, "rep", "left").select("set_a", "set_b", F.coalesce("c", "rep").alias("component_id"))
-    classes = materialize(classes, "classes")
+    classes = reps.select("set_a", "set_b", "doc_id", "rep").join(component.withColumnRenamed("id", "rep"), "rep", "left")
+    classes = materialize(classes.select("set_a", "set_b", "doc_id", F.coalesce("component", "rep").alias("component")), "classes")
     discard(spark, keep)
-    linked = linkable.join(classes, ["set_a", "set_b"]).select("doc_id", "n_shingles", "component_id")
+    return signed.drop("bands"), classes
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80, words: Callable = space_words) -> DataFrame:
+    """Classes of documents linked by ``100 * |A & B| >= percent * |A | B|`` on shingles of ``size`` words.
+
+    Returns one row per input row: ``doc_id, n_shingles, component_id, kept``.
+    """
+    signed, classes = link_sets(docs, id_col, text, size, percent, words, by_id=True)
+    least = materialize(classes.groupBy("component").agg(F.min("doc_id").alias("component_id")), "least")
+    named = materialize(classes.join(least, "component").select("set_a", "set_b", "component_id"), "named")
+    linked = signed.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)).join(named, ["set_a", "set_b"]).select("doc_id", "n_shingles", "component_id")
     alone = signed.where(F.col("doc_id").isNull() | (F.col("n_shingles") == 0)).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return linked.union(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80, words: Callable = space_words) -> DataFrame:
+    """The rows of ``docs`` that stay when of each class of near-duplicates only one does: that of the smallest id.
+
+    Rows are judged by their texts alone, so unrelated texts that share an id all stay; of repeated rows one stays.
+    Rows with a null id or without words stay.
+    """
+    signed, classes = link_sets(docs, id_col, text, size, percent, words, by_id=False)
+    linked = signed.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)).join(classes.select("set_a", "set_b", "component"), ["set_a", "set_b"])
+    kept = linked.groupBy("component").agg(F.min(F.struct("doc_id", "row")).alias("one")).select("one.*")
+    kept = materialize(kept.select(F.col("doc_id").alias("__doc"), F.col("row").alias("__row"), F.lit(True).alias("__linked")), "kept")
+    key, content = F.col(f"`{id_col}`"), F.col(f"`{text}`")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    plain = key.isNull() | content.isNull() | ~content.rlike(r"[^\x20\x09-\x0D]")
+    some = docs.where(~plain).join(kept, (key == F.col("__doc")) & (F.xxhash64(content) == F.col("__row")))
+    some = some.withColumn("__n", F.row_number().over(W.partitionBy("__doc", "__row").orderBy(F.lit(1)))).where("__n = 1")
+    return some.select(*columns).union(docs.where(plain).select(*columns))
+
+
 def _small_pairs(rest: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components in buckets of at most SMALL members; those with the hub are known already."""
     size_ok = F.lit(percent) * F.greatest("na", "nb") <= 100 * F.least("na", "nb")
@@ -230,7 +263,6 @@ def _block_links(large: DataFrame, sets: DataFrame, percent: int, keep: list[str
     inner = rows.where("component = main").withColumn("own", -F.pmod("h", "nm").cast("int") - 1)
     with_main = F.transform(F.sequence(F.lit(0), last), lambda i: F.struct(i.alias("i"), F.col("own").alias("j")))
     placed = outer.select("grp", "rep", "component", "own", F.explode(with_outer).alias("at")).union(inner.select("grp", "rep", "component", "own", F.explode(with_main).alias("at")))
-    bound_batches(large.sparkSession, BLOCK)
     placed = placed.select("grp", "at.i", "at.j", "rep", "component", "own").join(sets, "rep")
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -258,11 +290,12 @@ def _block_links(large: DataFrame, sets: DataFrame, percent: int, keep: list[str
 
 
 def _same_id(linkable: DataFrame, reps: DataFrame) -> DataFrame:
-    """Links between the representatives of one id that came with several texts."""
-    folded = linkable.select("doc_id", "set_a", "set_b").join(reps.select("set_a", "set_b", "rep"), ["set_a", "set_b"])
-    ends = folded.groupBy("doc_id").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi")
-    both = ends.select("doc_id", "lo").join(folded.select("doc_id", "rep"), "doc_id")
-    return both.where("rep > lo").select(F.col("rep").alias("a"), F.col("lo").alias("b")).distinct()
+    """Links between the representatives of one id that came with several sets."""
+    several = linkable.groupBy("doc_id").agg(*[f(c).alias(f"{f.__name__}_{c}") for c in ("set_a", "set_b") for f in (F.min, F.max)])
+    several = several.where("min_set_a < max_set_a or min_set_b < max_set_b").select("doc_id")
+    folded = linkable.select("doc_id", "set_a", "set_b").join(several, "doc_id", "left_semi").join(reps.select("set_a", "set_b", "rep"), ["set_a", "set_b"]).select("doc_id", "rep")
+    least = folded.groupBy("doc_id").agg(F.min("rep").alias("lo"))
+    return folded.join(least, "doc_id").where("rep > lo").select(F.col("rep").alias("a"), F.col("lo").alias("b")).distinct()
 
 
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -271,11 +304,7 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document, that of the smallest id, of each group of near-duplicates (five-word shingles)."""
-    kept = near_duplicates(docs).where("kept and doc_id is not null").select(F.col("doc_id").alias("__keep")).distinct()
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    one = docs.join(kept, docs["doc_id"] == kept["__keep"]).withColumn("__order", F.xxhash64(*[c for c in docs.columns]))
-    one = one.withColumn("__row", F.row_number().over(W.partitionBy("doc_id").orderBy("__order"))).where("__row = 1")
-    return one.select(*columns).union(docs.where(F.col("doc_id").isNull()).select(*columns))
+    return one_of_each(docs)
 
 
 QUERIES = {"op4_near_duplicates": op4_near_duplicates}

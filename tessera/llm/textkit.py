@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from functools import wraps
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -42,12 +43,28 @@ def arrow_schema(schema: T.StructType) -> pa.Schema:
 BATCH_ROWS = 1024
 
 
-def bound_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Lower the session's Arrow batch size to ``rows`` if it is larger."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(spark.conf.get(key, "10000"))
-    if now <= 0 or now > rows:
-        spark.conf.set(key, str(rows))
+def tuned(f: Callable) -> Callable:
+    """A query or stage whose session sends small Arrow batches.
+
+    Batches are made when a result is read, so this is the application's setting and holds for the session; operators
+    leave the session as it is and work with batches of any size.
+    """
+
+    @wraps(f)
+    def run(spark: SparkSession, *rest: object) -> DataFrame:
+        key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+        now = int(spark.conf.get(key, "10000"))
+        if now <= 0 or now > BATCH_ROWS:
+            spark.conf.set(key, str(BATCH_ROWS))
+        return f(spark, *rest)
+
+    return run
+
+
+def without_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:
+    """``df`` without the columns that new ones of these names replace, as ``withColumn`` does."""
+    gone = {n.lower() for n in names}
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in gone])
 
 
 def map_texts(
@@ -63,10 +80,10 @@ def map_texts(
     ``make()`` runs once per task and returns ``f(texts) -> columns``.  Batches are
     re-sliced to ``rows`` so that memory follows a few hundred texts, not a whole
     Arrow batch.  All other columns pass through untouched as Arrow buffers; the text
-    itself does unless ``keep_text`` is off.
+    itself does unless ``keep_text`` is off.  A new column replaces one of its name.
     """
-    bound_batches(df.sparkSession)
-    kept = [i for i, c in enumerate(df.columns) if keep_text or c != text]
+    clash = {n.lower() for n, _ in new}
+    kept = [i for i, c in enumerate(df.columns) if (keep_text or c != text) and c.lower() not in clash]
     schema = T.StructType([df.schema.fields[i] for i in kept] + [T.StructField(n, t, True) for n, t in new])
     where = df.columns.index(text)
     kinds = [arrow_schema(T.StructType([T.StructField(n, t)])).field(0).type for n, t in new]

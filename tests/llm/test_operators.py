@@ -53,7 +53,7 @@ def ppm_brute(train, order, text):
     return bits
 
 
-def test_ppm_code_lengths_match_the_definition():
+def test_ppm_code_lengths_match_the_definition(monkeypatch):
     rng = random.Random(1)
     train = {"a": [words(rng, 20, "abcd") for _ in range(3)], "b": [words(rng, 20, "cdeé") for _ in range(3)]}
     model = language_id.PPM.fit(train, 3)
@@ -64,11 +64,10 @@ def test_ppm_code_lengths_match_the_definition():
             assert total[i, j] == pytest.approx(ppm_brute(train[lang], 3, t))
         assert size[i] == len(t.lower().encode())
     whole = model.score([texts[0] * 50])[0]
-    language_id.CHUNK, old = 64, language_id.CHUNK
-    try:
-        assert model.score([texts[0] * 50])[0] == pytest.approx(whole)
-    finally:
-        language_id.CHUNK = old
+    monkeypatch.setattr(language_id, "CELLS", 128)
+    assert model.score([texts[0] * 50])[0] == pytest.approx(whole)
+    monkeypatch.setattr(language_id, "CHUNK", 7)
+    assert language_id.PPM.fit(train, 3).score([texts[0] * 50])[0] == pytest.approx(whole)
 
 
 def test_language_rows(spark):
@@ -77,13 +76,17 @@ def test_language_rows(spark):
     rows += [(40, None, "p", "s"), (41, "12 34", None, None), (42, "", "p", "s"), (42, "", "p", "s")]
     df = make_docs(spark, rows).withColumn("lang_pred", F.lit("clash"))
     model = language_id.train(df)
-    got = language_id.identify(df.drop("lang_pred"), model).collect()
+    got = language_id.identify(df, model).collect()
     assert all(r["lang_pred"] == r["lang"] for r in got if r["doc_id"] < 40)
     assert [r["lang_pred"] for r in got if r["doc_id"] >= 40] == ["und"] * 4
     kept = language_id.stage(spark, df, "")
     assert kept.columns == df.columns and kept.count() == 40
     empty = language_id.stage(spark, df.limit(0), "")
     assert empty.count() == 0
+    # However small the sample, every language with text is learned, and none without.
+    tiny = language_id.train(make_docs(spark, [*rows, (50, "", "empty", "s"), (51, None, "none", "s"), (52, "only one", "rare", "s")]), bound=1)
+    assert tiny.languages == ["p", "q", "rare"]
+    assert set(tiny.predict(["\x01\x02a" * 9, "zq"])[0]) <= {"p", "q", "rare"}
 
 
 # ---- 2 ------------------------------------------------------------------------------
@@ -258,10 +261,21 @@ def test_near_duplicates_blocks_and_odd_rows(spark, monkeypatch):
     assert [(r["component_id"], r["kept"]) for r in got if r["doc_id"] is None] == [(None, True)]
     kept = minmax_dedup.stage(spark, df, "")
     ids = sorted((-1 if r["doc_id"] is None else r["doc_id"]) for r in kept.collect())
-    assert ids == sorted(set(brute_classes([r for r in rows if r[0] is not None], 5).values()) | {-1}) and kept.columns == df.columns
+    # In the stage each row stands for itself: both texts of id 500 are judged alone.
+    alone = brute_classes([(k, t) for k, (i, t) in enumerate(rows) if i is not None], 5)
+    assert ids == sorted([rows[k][0] for k in set(alone.values())] + [-1]) and kept.columns == df.columns
     assert minmax_dedup.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_rows_that_share_an_id_are_judged_by_their_texts(spark):
+    rng = random.Random(17)
+    a, b, c = (words(rng, 90) for _ in range(3))
+    df = spark.createDataFrame([(1, a, 0), (5, mutated(rng, a, 1), 1), (5, b, 2), (5, b, 3), (7, c, 4), (7, a, 5), (8, None, 6), (8, " ", 7), (9, "", 8)], "doc_id long, text string, `x.y` int")
+    kept = minmax_dedup.stage(spark, df, "")
+    assert sorted(r["x.y"] for r in kept.collect() if r["x.y"] not in (2, 3)) == [0, 4, 6, 7, 8]
+    assert sum(r["x.y"] in (2, 3) for r in kept.collect()) == 1 and kept.columns == df.columns
+
+
 # ---- 5 ------------------------------------------------------------------------------
 
 
@@ -271,38 +285,101 @@ def test_spans(spark):
     other = lambda: ". ".join(words(rng, 8) for _ in range(4)) + "."
     rows = [(3, f"{other()}\n{passage}\n{other()}"), (1, f"{other()} {passage} {other()}"), (2, passage), (4, None), (5, ""), (6, "short."), (7, "short."), (None, passage), (8, f"{passage}\n{passage}")]
     df = spark.createDataFrame([(i, t, 0) for i, t in rows], "doc_id long, text string, n_removed int")
-    got = {r["doc_id"]: (r["text"], r["__n_removed"], r["__first_doc_ids"]) for r in span_dedup.dedup_spans(df, prefix="__").collect()}
+    got = {r["doc_id"]: (r["text"], r["n_removed"], r["first_doc_ids"]) for r in span_dedup.dedup_spans(df).collect()}
     text = dict(rows)
     assert got[1] == (text[1], 0, None) and got[2] == ("", 7, [1]) and got[8] == ("", 14, [1])
     assert passage not in got[3][0] and got[3][0].count(".") == 8
     assert got[4][0] is None and got[5][0] == "" and got[6][0] == got[7][0] == "short." and got[None][0] == passage
     kept = span_dedup.stage(spark, df, "")
     assert kept.columns == df.columns and sorted(-1 if r["doc_id"] is None else r["doc_id"] for r in kept.collect()) == [-1, 1, 3, 4, 5, 6, 7]
-    assert span_dedup.dedup_spans(df.limit(0), prefix="__").count() == 0
+    assert span_dedup.dedup_spans(df.limit(0)).count() == 0
 
 
-def test_sentences_cover_the_text_and_runs_match_brute_force():
+def test_rows_that_share_an_id_lose_their_own_repeats_only(spark):
+    rng = random.Random(18)
+    p, u, q = (". ".join(words(rng, 8) for _ in range(6)) + "." for _ in range(3))
+    df = spark.createDataFrame([(1, p), (5, f"{p}\nsomething else."), (5, u), (5, u), (6, f"{q}\n{q}"), (6, p)], "doc_id long, text string")
+    got = sorted((r["doc_id"], r["text"]) for r in span_dedup.dedup_spans(df).collect())
+    assert got == sorted([(1, p), (5, "something else."), (5, u), (5, u), (6, q), (6, "")])
+
+
+def test_words_cover_the_text_whatever_the_blocks(monkeypatch):
     rng = random.Random(9)
-    for _ in range(30):
-        text = "".join(words(rng, rng.choice([1, 4, 9, 60])) + rng.choice([". ", "\n", " -- ", "! "]) for _ in range(20))
-        u = span_dedup.sentences(text)
-        assert "".join(text[a:b] for a, b, _ in u) == text
-        want = set()
-        for s in range(len(u)):
-            e = next((e for e in range(s + 2, len(u)) if sum(len(x[2]) for x in u[s : e + 1]) >= 20), None)
-            b = next((b for b in range(s - 2, -1, -1) if sum(len(x[2]) for x in u[b : s + 1]) >= 20), None)
-            want |= ({(s, e)} if e is not None else set()) | ({(b, s)} if b is not None else set())
-        h, s, e = span_dedup.runs(u)
-        assert set(zip(s.tolist(), e.tolist(), strict=True)) == want
-        again = span_dedup.runs([(0, 0, [b"q"]), *u])
-        assert set(h.tolist()) <= set(again[0].tolist()) | set(h.tolist()) and len(set(h.tolist()) & set(again[0].tolist())) >= len(set(h.tolist())) - 3
+    texts = ["", "...", "one", *("".join(words(rng, rng.choice([1, 4, 9, 60]), "abÉ\u4e2d") + rng.choice([". ", "\n", " -- ", "! ", ".\n\n", "..."]) for _ in range(20)) for _ in range(20)), "", "x" * 500]
+    whole = span_dedup.words_of([t.encode() for t in texts])
+    assert [n for n in np.diff(whole.first)] == [len(alnum_words(t)) for t in texts]
+    for t in texts[3:-2]:
+        w = span_dedup.words_of([t.encode()])
+        data = t.encode()
+        pieces = [data[a:b] for a, b in zip(w.begin, [*w.begin[1:], len(data)], strict=True)]
+        assert b"".join(pieces) == data and [alnum_words(x.decode()) for x in pieces] == [[x] for x in alnum_words(t)]
+        assert not span_dedup.without(t, [(0 << 32) | (len(pieces) - 1) << 1])[1] and span_dedup.without(t, [])[1] == t.strip()
+        assert len({h for h, x in zip(w.hash.tolist(), alnum_words(t), strict=True)}) == len(set(alnum_words(t)))
+    monkeypatch.setattr(span_dedup, "BLOCK", 64)
+    for a, b in zip(whole, span_dedup.words_of([t.encode() for t in texts]), strict=True):
+        assert (a == b).all()
+
+
+def test_sentence_runs_are_the_shortest_and_cover_every_shared_stretch():
+    rng = random.Random(19)
+    for _ in range(60):
+        sizes = [rng.choice([1, 3, 6, 9, 15, 30]) for _ in range(rng.randrange(1, 25))]
+        count = np.cumsum([0, *sizes])
+        total = lambda s, e: int(count[e + 1] - count[s])
+        fits = lambda s, e: e - s >= 2 and total(s, e) >= 20
+        runs = set(zip(*(x.tolist() for x in span_dedup.sentence_runs(count, np.zeros(len(sizes), int))), strict=True))
+        assert all(fits(s, e) and not (fits(s + 1, e) and fits(s, e - 1)) for s, e in runs)
+        for s, e in itertools.combinations(range(len(sizes)), 2):
+            if fits(s, e):
+                inside = [r for r in runs if s <= r[0] and r[1] <= e]
+                assert {i for a, b in inside for i in range(a, b + 1)} == set(range(s, e + 1))
+
+
+def test_spans_against_brute_force(spark):
+    """What goes stands in an earlier place, and of what repeats at length no more than the ends stay."""
+    rng = random.Random(20)
+
+    def prose(n):
+        return " ".join(w + rng.choice(["", "", "", "", ".", ",", "\n"]) for w in words(rng, n, "abcdefghijklmnop", 9).split())
+
+    passages = [prose(n) for n in (30, 46, 60, 60, 90, 150)]
+    rows = [(i, " ".join(rng.choice([prose(rng.randrange(1, 50)), rng.choice(passages)]) for _ in range(rng.randrange(1, 6)))) for i in range(60)]
+    rows += [(60, rows[7][1]), (61, rows[8][1] + " " + rows[8][1])]
+    got = {r["doc_id"]: alnum_words(r["text"]) for r in span_dedup.dedup_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    places = {}
+    for i, t in rows:
+        w = alnum_words(t)
+        for a in range(len(w) - 19):
+            places.setdefault(tuple(w[a : a + 20]), []).append((i, a))
+    removed = 0
+    for i, t in rows:
+        w, left = alnum_words(t), got[i]
+        # Words are nearly all different, so the kept ones can be told apart in order.
+        stays, at = [], 0
+        for x in w:
+            stays.append(at < len(left) and left[at] == x)
+            at += stays[-1]
+        assert at == len(left)
+        earlier = set()
+        for a in range(len(w) - 19):
+            if min(places[tuple(w[a : a + 20])]) < (i, a):
+                earlier |= set(range(a, a + 20))
+        gone = {k for k, s in enumerate(stays) if not s}
+        removed += len(gone)
+        assert gone <= earlier
+        for _, run in itertools.groupby(sorted(earlier), key=lambda k, c=itertools.count(): k - next(c)):
+            run = list(run)
+            if len(run) >= 45:
+                assert len(set(run) - gone) <= 50 and gone & set(run)
+    assert removed > 500
 
 
 def common_words(a, b):
     """Words of text b that runs shared with a cover."""
-    known = set(span_dedup.all_runs(a)[0].tolist())
-    h, s, e, _ = span_dedup.all_runs(b)
-    return {i for k, x, y in zip(h.tolist(), s.tolist(), e.tolist(), strict=True) if k in known for i in range(x, y + 1)}
+    _, h, c, _, _, _ = span_dedup.all_runs([a.encode()])
+    known = set(zip(h.tolist(), c.tolist(), strict=True))
+    _, h, c, s, e, _ = span_dedup.all_runs([b"some text. before", b.encode(), b"and after"])
+    return {i for k, x, y in zip(zip(h.tolist(), c.tolist(), strict=True), s.tolist(), e.tolist(), strict=True) if k in known for i in range(x, y + 1)}
 
 
 @pytest.mark.parametrize("every", [0, 5, 11, 22])
@@ -339,7 +416,9 @@ def test_cuts_in_passages_laid_out_against_the_sentences():
 
 def test_copies_of_few_sentences_go(spark):
     rng = random.Random(10)
-    unpicked = [w for w in {words(rng, 1, "abcdefghijklmnop", 9) for _ in range(3000)} if zlib.crc32(w.encode()) % 8]
+    vocabulary = list({words(rng, 1, "abcdefghijklmnop", 9) for _ in range(3000)})
+    hashes = span_dedup.words_of([" ".join(vocabulary).encode()]).hash
+    unpicked = [w for w, h in zip(vocabulary, hashes.tolist(), strict=True) if h % span_dedup.PICK]
     one, two, short = (" ".join(rng.choice(unpicked) for _ in range(n)) for n in (160, 55, 20))
     two = two.replace(" ", ". ", 1)
     rows = [(1, one), (2, one), (3, f"({two})"), (4, f"({two})"), (5, short), (6, short), (7, short[: short.rindex(" ")]), (8, "the " * 200), (9, "x " + "the " * 150), (10, f"start {one} end")]
