@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import decontaminate, language_id, minmax_dedup, mixture, span_dedup
+from tessera.llm.textkit import tuned
 from tessera.session import materialize
 
 STAGES = [
-    ("language_id", language_id.stage),
-    ("near_dedup", minmax_dedup.stage),
-    ("span_dedup", span_dedup.stage),
-    ("decontaminate", decontaminate.stage),
-    ("mixture", mixture.stage),
+    ("language_id", tuned(language_id.stage)),
+    ("near_dedup", tuned(minmax_dedup.stage)),
+    ("span_dedup", tuned(span_dedup.stage)),
+    ("decontaminate", tuned(decontaminate.stage)),
+    ("mixture", tuned(mixture.stage)),
 ]
 
 #: Language models and hash signatures have no SQL form; tests hold the stages against brute force.
