@@ -15,6 +15,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def build_session(app: str = "tessera", **conf: str) -> SparkSession:
     """A session with the settings the engine is tuned for; keyword arguments override them."""
     defaults = {
@@ -52,7 +55,17 @@ def materialize(df: DataFrame, label: str = "table", keep: list[str] | None = No
     """Write ``df`` to the shared folder and return the written table; ``keep`` collects its path for ``discard``."""
     spark = df.sparkSession
     path = new_path(spark, label)
-    df.write.parquet(path)
+    # What was shuffled for a written table is of no further use; by default it stays on the executors' disks until the
+    # driver's garbage is collected.
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
     if keep is not None:
         keep.append(path)
     return spark.read.schema(df.schema).parquet(path)
