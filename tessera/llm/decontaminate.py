@@ -5,29 +5,37 @@ words stream through it once; the state and match length at a word give the
 longest run ending there that some item contains, so every occurrence of a
 10-word window (or of a whole shorter item) is found exactly, whatever precedes it.
 
+A state's transitions are two arrays, one for its first word and one for the state
+that it leads to; only states with several have a dictionary for the others.
+
 Benchmarks are a reference set: they are split into blocks of at most
 ``BLOCK_WORDS`` words, each block's automaton is broadcast (its size is bounded
 by that number), and documents pass the blocks one after the other.
 
 Defined results: null or empty texts have no words and are never contaminated; items
 without words are ignored; an item whose id is null taints words but is not
-listed; repeated items and rows each count; other columns pass through.
+listed; repeated items and rows each count; a text of any length is streamed whole; new columns replace others of their
+names, all other columns pass through.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from array import array
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.textkit import alnum_words, load, map_texts
-from tessera.session import materialize
+from tessera.llm.textkit import alnum_words, arrow_schema, load, map_texts
+from tessera.session import discard, materialize
 
 WINDOW = 10
-#: Most words that one automaton holds; about 200 bytes of memory each.
+#: Most words that one automaton holds, at about 170 bytes of memory each with the dictionary (measured on 100,000 words of 20,000).
 BLOCK_WORDS = 500_000
 _WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 
@@ -38,103 +46,124 @@ class ItemAutomaton:
     def __init__(self, items: list[tuple[str | None, list[bytes]]], window: int = WINDOW):
         self.window = window
         self.ids: dict[bytes, int] = {}
-        self.next: list[dict[int, int]] = [{}]
-        self.link, self.length = [-1], [0]
+        #: First transition of each state (word -1: none) and the further ones of states that have some.
+        self.word, self.to, self.more = array("i", [-1]), array("i", [0]), {}
+        self.link, self.length = array("i", [-1]), array("i", [0])
+        self.items: list[str | None] = []
         sequences = []
         for name, words in items:
             if words:
-                seq = [self.ids.setdefault(w, len(self.ids)) for w in words]
-                sequences.append((name, seq))
+                seq = array("i", [self.ids.setdefault(w, len(self.ids)) for w in words])
+                sequences.append(seq)
+                self.items.append(name)
                 last = 0
                 for w in seq:
                     last = self._extend(last, w)
-        n = len(self.next)
-        names: dict[int, set[str]] = {}
-        short: dict[int, list[tuple[int, str | None]]] = {}
-        for name, seq in sequences:
+        n = len(self.word)
+        #: The item whose window ends at a state of the last `window` words, and all of them where there are several.
+        self.owner, self.owners = array("i", [-1]) * n, {}
+        short: dict[int, list[tuple[int, int]]] = {}
+        for item, seq in enumerate(sequences):
             v = 0
             for i, w in enumerate(seq):
-                v = self.next[v][w]
+                v = self.step(v, w)
                 if i + 1 >= window:
-                    u = self._above(v)
-                    names.setdefault(u, set())
-                    if name is not None:
-                        names[u].add(name)
+                    self._own(self._above(v), item)
             if len(seq) < window:
-                short.setdefault(v, []).append((len(seq), name))
-        self.names = {u: frozenset(s) for u, s in names.items()}
-        order = sorted(range(1, n), key=self.length.__getitem__)
+                short.setdefault(v, []).append((len(seq), item))
         #: Short items that end at a state, those of its suffixes included, and the state of the last `window` words.
-        self.short: dict[int, tuple[tuple[int, str | None], ...]] = {}
-        self.tail = [0] * n
-        for v in order:
+        self.short: dict[int, tuple[tuple[int, int], ...]] = {}
+        self.tail = array("i", [0]) * n
+        for v in sorted(range(1, n), key=self.length.__getitem__):
             up = self.link[v]
             if v in short or up in self.short:
-                self.short[v] = tuple(sorted([*short.get(v, ()), *self.short.get(up, ())], key=lambda x: (x[0], x[1] or "")))
+                self.short[v] = tuple(sorted([*short.get(v, ()), *self.short.get(up, ())]))
             if self.length[v] >= window:
                 self.tail[v] = v if self.length[up] < window else self.tail[up]
 
+    def step(self, v: int, w: int) -> int | None:
+        if self.word[v] == w:
+            return self.to[v]
+        return self.more[v].get(w) if v in self.more else None
+
+    def _lead(self, v: int, w: int, to: int) -> None:
+        if self.word[v] in (-1, w):
+            self.word[v], self.to[v] = w, to
+        else:
+            self.more.setdefault(v, {})[w] = to
+
+    def _own(self, state: int, item: int) -> None:
+        first = self.owner[state]
+        if first < 0:
+            self.owner[state] = item
+        elif first != item:
+            self.owners.setdefault(state, {first}).add(item)
+
     def _above(self, v: int) -> int:
         while self.length[self.link[v]] >= self.window:
             v = self.link[v]
         return v
 
+    def _state(self, length: int, link: int = 0) -> int:
+        self.word.append(-1)
+        self.to.append(0)
+        self.link.append(link)
+        self.length.append(length)
+        return len(self.word) - 1
+
     def _extend(self, last: int, w: int) -> int:
-        nxt, link, length = self.next, self.link, self.length
-
-        def clone(p: int, q: int) -> int:
-            c = len(nxt)
-            nxt.append(dict(nxt[q]))
-            link.append(link[q])
-            length.append(length[p] + 1)
-            while p != -1 and nxt[p].get(w) == q:
-                nxt[p][w] = c
-                p = link[p]
-            link[q] = c
+        def split(p: int, q: int) -> int:
+            """The state for the words of p and w alone, apart from the longer ones of q."""
+            if self.length[q] == self.length[p] + 1:
+                return q
+            c = self._state(self.length[p] + 1, self.link[q])
+            self.word[c], self.to[c] = self.word[q], self.to[q]
+            if q in self.more:
+                self.more[c] = dict(self.more[q])
+            while p != -1 and self.step(p, w) == q:
+                self._lead(p, w, c)
+                p = self.link[p]
+            self.link[q] = c
             return c
 
-        if w in nxt[last]:
-            q = nxt[last][w]
-            return q if length[q] == length[last] + 1 else clone(last, q)
-        cur = len(nxt)
-        nxt.append({})
-        link.append(0)
-        length.append(length[last] + 1)
-        p = last
-        while p != -1 and w not in nxt[p]:
-            nxt[p][w] = cur
-            p = link[p]
+        if (q := self.step(last, w)) is not None:
+            return split(last, q)
+        new, p = self._state(self.length[last] + 1), last
+        while p != -1 and (q := self.step(p, w)) is None:
+            self._lead(p, w, new)
+            p = self.link[p]
         if p != -1:
-            q = nxt[p][w]
-            link[cur] = q if length[q] == length[p] + 1 else clone(p, q)
-        return cur
+            self.link[new] = split(p, q)
+        return new
 
     def scan(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str], int]:
         """Merged hit ranges of words (end exclusive), ids of items with an occurring window, longest match."""
-        nxt, link, length, tail, short, window = self.next, self.link, self.length, self.tail, self.short, self.window
+        first, to, more, link, length, tail, short, window = self.word, self.to, self.more, self.link, self.length, self.tail, self.short, self.window
         spans: list[tuple[int, int]] = []
         states: set[int] = set()
-        found: set[str | None] = set()
+        found: set[int] = set()
         v = l = best = 0
         for i, w in enumerate(map(self.ids.get, words)):
             if w is None:
                 v = l = 0
                 continue
-            step = nxt[v].get(w)
-            while step is None:
+            while first[v] != w:
+                if v in more and w in more[v]:
+                    v = more[v][w]
+                    break
                 v = link[v]
                 l = length[v]
-                step = nxt[v].get(w)
-            v = step
+            else:
+                v = to[v]
             l += 1
             hit = 0
             if l >= window:
                 hit = window
                 states.add(tail[v])
             if v in short:
-                for n, name in short[v]:
+                for n, item in short[v]:
                     if n <= l:
-                        found.add(name)
+                        found.add(item)
                         hit = max(hit, n)
             if hit:
                 best = max(best, l)
@@ -143,19 +172,19 @@ class ItemAutomaton:
                     start = min(start, spans.pop()[0])
                 spans.append((start, i + 1))
         for s in states:
-            found |= self.names[s]
-        found.discard(None)
-        return spans, found, best
+            found |= self.owners.get(s) or {self.owner[s]}
+        return spans, {self.items[k] for k in found} - {None}, best
 
 
-def merge_spans(a: list[tuple[int, int]], b: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    out: list[tuple[int, int]] = []
-    for s, e in sorted([*a, *b]):
-        if out and s <= out[-1][1]:
-            out[-1] = (out[-1][0], max(e, out[-1][1]))
-        else:
-            out.append((s, e))
-    return out
+def merged(spans: Column) -> Column:
+    """Sorted (from, to) ranges with those that touch united."""
+
+    def unite(done: Column, s: Column) -> Column:
+        last = F.element_at(done, -1)
+        joined = F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(F.struct(last["from"].alias("from"), F.greatest(last["to"], s["to"]).alias("to"))))
+        return F.when((F.size(done) > 0) & (F.try_element_at(done, F.lit(-1))["to"] >= s["from"]), joined).otherwise(F.concat(done, F.array(s)))
+
+    return F.aggregate(spans, F.array().cast(SPANS), unite)
 
 
 def cut(text: str, spans: list[tuple[int, int]]) -> str:
@@ -217,17 +246,24 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
         """A further block: its findings are united with those that the row has."""
         old = {n: f"__before_{n}" for n, _ in new}
         both = scan(df.withColumnsRenamed(old), automaton)
-        merge = F.udf(lambda a, b: [(x, y) for x, y in merge_spans(a, b)], SPANS)
+        _, longest, spans, items = (n for n, _ in new)
         united = {
-            new[1][0]: F.greatest(new[1][0], old[new[1][0]]),
-            new[2][0]: F.when(F.size(new[2][0]) == 0, F.col(old[new[2][0]])).when(F.size(old[new[2][0]]) == 0, F.col(new[2][0])).otherwise(merge(old[new[2][0]], new[2][0])),
-            new[3][0]: F.array_sort(F.array_union(new[3][0], old[new[3][0]])),
+            longest: F.greatest(longest, old[longest]),
+            spans: F.when(F.size(spans) == 0, F.col(old[spans])).when(F.size(old[spans]) == 0, F.col(spans)).otherwise(merged(F.array_sort(F.concat(old[spans], spans)))),
+            items: F.array_sort(F.array_union(items, old[items])),
         }
-        return both.withColumns(united).select(*df.columns)
+        return both.withColumns(united).select(*[F.col(f"`{c}`") for c in df.columns])
 
     out: DataFrame | None = None
+    past: list[str] = []
     for automaton in blocks(benchmark, item_id, item_text, block_words, window):
-        out = scan(docs, automaton) if out is None else joined(materialize(out, "decontaminate"), automaton)
+        if out is None:
+            out = scan(docs, automaton)
+            continue
+        held = materialize(out, "decontaminate", now := [])
+        discard(spark, past)
+        past = now
+        out = joined(held, automaton)
     return out
 
 
@@ -245,22 +281,38 @@ def op3_benchmark_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-#: Hit spans of at least this many words are cut out of a document; it goes altogether when they cover this share of it.
-CUT_WORDS, DROP_COVERAGE = 1, 0.8
+#: Hit spans of at least this many words are cut out of a document; it goes altogether when hits cover this share of it.
+CUT_WORDS, DROP_COVERAGE = 5, 0.8
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", cut_words: int = CUT_WORDS, drop_coverage: float = DROP_COVERAGE) -> DataFrame:
-    """Remove benchmark spans from texts and drop documents that are little else; columns stay as they are."""
+    """Remove benchmark spans from texts and drop documents that are little else; columns stay as they are.
+
+    A hit span shorter than ``cut_words``, which only items as short can make, stays in a text that is not
+    mostly hits: a one-word item does not take its word out of every document.
+    """
     found = find_overlaps(docs, benchmark, text, prefix="__dec_")
     n_hit = F.aggregate("__dec_spans", F.lit(0).cast("long"), lambda a, s: a + s["to"] - s["from"])
-    long_ = F.filter("__dec_spans", lambda s: s["to"] - s["from"] >= cut_words)
     kept = found.where((F.size("__dec_spans") == 0) | (n_hit < drop_coverage * F.col("__dec_n_words")))
-    cleaned = F.udf(lambda t, spans: None if t is None else cut(t, [(s["from"], s["to"]) for s in spans]), T.StringType(), useArrow=False)
-    dirty = F.size(long_) > 0
-    # Only dirty rows send their text to Python; the others pass a null.
-    kept = kept.withColumn("__dec_cut", cleaned(F.when(dirty, F.col(text)), F.when(dirty, long_)))
-    kept = kept.where(~dirty | (F.length("__dec_cut") > 0)).withColumn(text, F.when(dirty, F.col("__dec_cut")).otherwise(F.col(text)))
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    long_ = F.filter("__dec_spans", lambda s: s["to"] - s["from"] >= cut_words)
+    kept = kept.select(*[F.col(f"`{c}`") for c in docs.columns], long_.alias("__dec_spans"))
+    schema, names = docs.schema, docs.columns
+    target, where = arrow_schema(schema), names.index(text)
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns, spans = batch.columns[:-1], batch.column(len(names))
+            dirty = np.flatnonzero(pc.list_value_length(spans).to_numpy(zero_copy_only=False) > 0).tolist()
+            stays = np.ones(batch.num_rows, bool)
+            if dirty:  # other texts pass as they are
+                texts = columns[where].to_pylist()
+                for i in dirty:
+                    texts[i] = cut(texts[i], [(s["from"], s["to"]) for s in spans[i].as_py()])
+                    stays[i] = bool(texts[i])
+                columns[where] = pa.array(texts, type=target.field(where).type)
+            yield pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array(stays))
+
+    return kept.mapInArrow(clean, schema)
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,11 +10,12 @@ A target is ``f`` times its source's size.  Every document is taken whole
 ``floor(f)`` times, and the rest is filled with whole documents in the order of a
 seeded hash; the document in which the target falls is taken in part.  Running
 sums over a source would need one task for its documents, so sums of hash ranges
-(``RANGES`` a source, a partial aggregate) find the range in which the target
-falls, and only that range's documents are put in order.
+(``RANGES`` a source, then ``RANGES`` within the one in which the target falls; partial aggregates over a narrow table
+of sizes) close in on that document, and texts are read once more to be compared with it.
 
-Defined results: null texts have size 0; an empty table gives no rows; sources of
-size 0 take nothing; rows that share an id and a size are interchangeable.
+Defined results: null texts have size 0, texts of any length are counted whole; an empty table gives no rows; sources of
+size 0 take nothing; rows that share an id and a size are interchangeable; new columns replace others of their names, all
+other columns pass through.
 """
 
 from __future__ import annotations
@@ -25,8 +26,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tessera.llm.textkit import load
-from tessera.session import materialize
+from tessera.llm.textkit import load, without_columns
+from tessera.session import discard, materialize
 
 WEIGHTS = (5, 2, 1)
 BUDGET, CAP = 1.5, 2.0
@@ -65,37 +66,52 @@ def seeded(column: str, seed: str = SEED) -> Column:
     return F.conv(F.substring(F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col(column).cast("string"), F.lit("null")))), 1, 7), 16, 10).cast("long")
 
 
+def _close_in(sizes: DataFrame, plan: DataFrame, width: int) -> DataFrame:
+    """For each source of ``plan`` the hash range of ``width`` in which its rest is reached: ``source, cut, before``."""
+    rows = sizes.join(plan, F.col("__source").eqNullSafe(F.col("source"))).where("lo is null or __h between lo and hi")
+    sums = rows.groupBy("__source", F.floor(F.col("__h") / width).alias("range")).agg(F.sum("__size").alias("words"), F.max("rest").alias("rest"), F.max("before").alias("before"))
+    upto = W.partitionBy("__source").orderBy("range").rowsBetween(W.unboundedPreceding, W.currentRow)
+    sums = sums.withColumn("upto", F.col("before") + F.sum("words").over(upto)).where("upto >= rest")
+    return sums.groupBy("__source").agg(F.min(F.struct("range", (F.col("upto") - F.col("words")).alias("before"))).alias("c")).select("__source", F.col("c.range").alias("cut"), "c.before")
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", weigh: Callable[[DataFrame], DataFrame] = cycled_weights, seed: str = SEED) -> DataFrame:
     """Append ``size, source_size, target, copies`` (whole repetitions) and ``taken`` (words, repeats counted)."""
-    names = docs.columns
-    width = (1 << 28) // RANGES
-    rows = docs.withColumns({"__source": F.col(source), "__h": seeded(id_col, seed)}).withColumn("__range", F.floor(F.col("__h") / width))
-    # One small table: words of each source and hash range.
-    ranges = rows.select("__source", F.col("__range").alias("range"), word_count(F.col(text)).alias("n")).groupBy("__source", "range").agg(F.sum("n").alias("words"))
-    ranges = materialize(ranges, "ranges")
-    sizes = ranges.groupBy(F.col("__source").alias("source")).agg(F.sum("words").alias("source_size"))
-    targets = materialize(water_fill(weigh(sizes)), "targets")
+    spark, kept = docs.sparkSession, []
+    docs = docs.withColumns({"__source": F.col(f"`{source}`"), "__id": F.col(f"`{id_col}`"), "__h": seeded(id_col, seed), "__size": word_count(F.col(f"`{text}`"))})
+    names = without_columns(docs, ["size", "source_size", "target", "copies", "taken", "__source", "__id", "__h", "__size"]).columns
+    sizes = materialize(docs.select("__source", "__id", "__h", "__size"), "sizes", kept)
+    totals = sizes.groupBy(F.col("__source").alias("source")).agg(F.sum("__size").alias("source_size"))
+    plan = materialize(water_fill(weigh(totals)), "targets", kept)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0).cast("long"))
-    plan = targets.withColumn("whole", whole).withColumn("rest", F.round(F.col("target") - F.col("whole") * F.col("source_size")).cast("long"))
-    upto = W.partitionBy("__source").orderBy("range").rowsBetween(W.unboundedPreceding, W.currentRow)
-    cut = ranges.withColumn("upto", F.sum("words").over(upto)).join(plan, F.col("__source").eqNullSafe(F.col("source")))
-    first = F.min(F.struct("range", (F.col("upto") - F.col("words")).alias("before")))
-    cut = cut.where("upto >= rest").groupBy(F.col("__source").alias("__s")).agg(first.alias("c")).select("__s", F.col("c.range").alias("__cut"), F.col("c.before").alias("__cut_before"))
-    plan = plan.join(cut, F.col("source").eqNullSafe(F.col("__s")), "left").drop("__s")
-    plan = plan.withColumnsRenamed({c: f"__{c}" for c in ("source_size", "weight", "target", "whole", "rest")}).withColumnRenamed("source", "__p")
-    if targets.count() <= SOURCE_ROWS:
-        plan = F.broadcast(plan)
-    joined = rows.join(plan, F.col("__source").eqNullSafe(F.col("__p"))).drop("__p")
-    # Documents before the range in which the target falls are in, those after it are out.
-    edge = F.coalesce(F.col("__range") == F.col("__cut"), F.lit(False))
-    within = W.partitionBy("__source").orderBy("__h", id_col, "__size").rowsBetween(W.unboundedPreceding, -1)
-    inside = joined.where(edge).withColumn("__size", word_count(F.col(text)))
-    inside = inside.withColumn("__before", F.col("__cut_before") + F.coalesce(F.sum("__size").over(within), F.lit(0)))
-    inside = inside.withColumn("__part", F.greatest(F.lit(0).cast("long"), F.least(F.col("__size"), F.col("__rest") - F.col("__before")))).drop("__before")
-    others = joined.where(~edge).withColumn("__size", word_count(F.col(text)))
-    others = others.withColumn("__part", F.when(F.col("__range") < F.col("__cut"), F.col("__size")).otherwise(F.lit(0).cast("long")))
-    done = inside.unionByName(others)
-    return done.select(*[F.col(f"`{c}`") for c in names], F.col("__size").alias("size"), F.col("__source_size").alias("source_size"), F.col("__target").alias("target"), F.col("__whole").alias("copies"), (F.col("__whole") * F.col("__size") + F.col("__part")).alias("taken"))
+    plan = plan.withColumn("whole", whole).withColumn("rest", F.round(F.col("target") - F.col("whole") * F.col("source_size")).cast("long"))
+    few = plan.count() <= SOURCE_ROWS
+    near = F.broadcast if few else lambda x: x
+    at = plan.select("source", "rest", F.lit(None).cast("long").alias("lo"), F.lit(None).cast("long").alias("hi"), F.lit(0).cast("long").alias("before"))
+    for width in ((1 << 28) // RANGES, (1 << 28) // RANGES // RANGES):
+        cut = _close_in(sizes, near(at), width).select("__source", (F.col("cut") * width).alias("lo"), ((F.col("cut") + 1) * width - 1).alias("hi"), "before")
+        at = materialize(plan.select("source", "rest").join(cut, F.col("source").eqNullSafe(F.col("__source"))).select("source", "rest", "lo", "hi", "before"), "cuts", kept)
+    # The documents of one narrow range are put in order; rows of one key are interchangeable, so they are one step.
+    inside = sizes.join(near(at), F.col("__source").eqNullSafe(F.col("source"))).where("__h between lo and hi")
+    inside = inside.groupBy("__source", "__h", "__id", "__size").agg(F.count("*").alias("rows"), F.max("rest").alias("rest"), F.max("before").alias("before"))
+    order = W.partitionBy("__source").orderBy("__h", "__id", "__size").rowsBetween(W.unboundedPreceding, -1)
+    inside = inside.withColumn("before", F.col("before") + F.coalesce(F.sum(F.col("rows") * F.col("__size")).over(order), F.lit(0).cast("long")))
+    key = F.struct("__h", "__id", "__size")
+    edge = inside.where(F.col("before") + F.col("rows") * F.col("__size") >= F.col("rest")).groupBy(F.col("__source").alias("__s")).agg(F.min(F.struct(key.alias("key"), "before", "rows")).alias("e"))
+    plan = plan.join(edge, F.col("source").eqNullSafe(F.col("__s")), "left").select(F.col("source").alias("__p"), "source_size", "target", "whole", "rest", "e.key", "e.before", "e.rows")
+    plan = materialize(plan.withColumnsRenamed({c: f"__{c}" for c in ("source_size", "target", "whole", "rest", "key", "before", "rows")}), "plan")
+    joined = docs.join(near(plan), F.col("__source").eqNullSafe(F.col("__p")))
+    # Documents before the one in which the target falls are in, those after it are out.
+    left = F.greatest(F.lit(0).cast("long"), F.col("__rest") - F.col("__before"))
+    part = F.when(key < F.col("__key"), F.col("__size")).when(key > F.col("__key"), F.lit(0).cast("long"))
+    if plan.where("__rows > 1").isEmpty():
+        joined = joined.withColumn("__part", F.coalesce(part, F.least("__size", left)))
+    else:  # of equal rows at the edge each takes what those before it leave
+        tied = joined.where(part.isNull()).withColumn("__n", F.row_number().over(W.partitionBy("__source").orderBy(F.lit(1))) - 1)
+        tied = tied.withColumn("__part", F.greatest(F.lit(0).cast("long"), F.least(F.col("__size"), left - F.col("__n") * F.col("__size")))).drop("__n")
+        joined = tied.unionByName(joined.withColumn("__part", part).where(F.col("__part").isNotNull()))
+    discard(spark, kept)
+    return joined.select(*[F.col(f"`{c}`") for c in names], F.col("__size").alias("size"), F.col("__source_size").alias("source_size"), F.col("__target").alias("target"), F.col("__whole").alias("copies"), (F.col("__whole") * F.col("__size") + F.coalesce("__part", F.lit(0))).alias("taken"))
 
 
 def op10_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:

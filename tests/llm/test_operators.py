@@ -197,8 +197,16 @@ def test_decontaminate_stage(spark):
     out = {r["doc_id"]: r["text"] for r in decontaminate.decontaminate(df, bench).collect()}
     assert set(out) == {1, 3, 4, 5} and out[1].startswith("Start here,") and out[1].endswith("! end of it") and item.upper() not in out[1]
     assert decontaminate.decontaminate(df, bench).columns == df.columns
-    one = decontaminate.find_overlaps(df.drop("spans", "items"), bench).select("doc_id", "spans", "items").collect()
-    many = decontaminate.find_overlaps(df.drop("spans", "items"), bench, block_words=2).select("doc_id", "spans", "items").collect()
+    # A one-word item takes its word out of no text, but a text of little else goes.
+    word = spark.createDataFrame([(1, "clean"), (2, item)], "item_id int, text string")
+    assert decontaminate.decontaminate(df, word).where("text = 'clean text'").count() == 2
+    assert decontaminate.decontaminate(df, word, drop_coverage=0.5).where("text = 'clean text'").count() == 0
+    one = decontaminate.find_overlaps(df, bench).select("doc_id", "spans", "items").collect()
+    long = make_docs(spark, [(9, words(rng, 30_000, "xyz") + " " + item, "p", "s")])
+    assert [list(r["spans"][0]) for r in decontaminate.find_overlaps(long, bench).collect()] == [[30_000, 30_030]]
+    bench = bench.union(spark.createDataFrame([(3, " ".join(item.split()[9:] + ["more"])), (4, " ".join(item.split()[5:15]))], bench.schema))
+    one = decontaminate.find_overlaps(df, bench).select("doc_id", "spans", "items").collect()
+    many = decontaminate.find_overlaps(df, bench, block_words=2).select("doc_id", "spans", "items").collect()
     assert sorted(map(str, one)) == sorted(map(str, many))
     assert decontaminate.decontaminate(df, bench.limit(0)).count() == 6
 
@@ -577,11 +585,39 @@ def test_counterfactual_penalty_levels_identity_terms(spark):
         return abs(m.score("they are muslims here") - m.score("they are christians here")), m
 
     free, _ = gap(0.0)
-    tied, model = gap(20.0)
+    tied, model = gap(toxicity.PENALTY)
     assert free > 0.2 and tied < free / 4
     assert model.score("you zork") > model.score("you there")
 
 
+def test_every_identity_term_is_swapped():
+    first, *others = toxicity.swaps("Muslims and gay women talk.")
+    assert first == "muslims and gay women talk." and {"jews and gay women talk.", "muslims and straight women talk.", "muslims and gay men talk."} <= set(others)
+    assert len(others) == 5 + 4 + 4 and len(toxicity.swaps("nothing here")) > 1 and toxicity.pairs_of(None) == toxicity.pairs_of(" \n") == []
+    # Of a text's sentences one that mentions a group is taken.
+    for bins, change in toxicity.pairs_of("One here. Two there. The elderly talk. Three."):
+        assert sum(change) == len(bins) - 2 * sum(c < 0 for c in change) and set(toxicity.word_bins("elderly")) & set(bins)
+
+
+def test_scores_against_brute_force(spark):
+    """The model's weights, by the definition of features and loss."""
+    rng = random.Random(21)
+    rows = [(i, words(rng, 12) + (" grumble" if i % 3 == 0 else " calm"), int(i % 3 == 0)) for i in range(120)]
+    model = toxicity.train(spark.createDataFrame(rows, "doc_id long, text string, toxic int"))
+    x = np.zeros((len(rows), len(model.weights)))
+    place = {b: k for k, b in enumerate(model.weights)}
+    for r, (_, t, _) in enumerate(rows):
+        for w in set(t.split()):
+            for b in toxicity.word_bins(w):
+                if b in place:
+                    x[r, place[b]] += 1
+    z = x @ np.array(list(model.weights.values())) + model.base
+    assert [model.score(t) for _, t, _ in rows] == pytest.approx((1 / (1 + np.exp(-z))).tolist())
+    assert all((model.score(t) > 0.5) == bool(y) for _, t, y in rows)
+    got = toxicity.score(spark.createDataFrame([(1, rows[0][1], "clash")], "doc_id long, text string, score string"), model).collect()
+    assert got[0]["score"] == pytest.approx(model.score(rows[0][1])) and got[0]["predicted"] == 1
+
+
 def test_toxicity_rows(spark):
     rng = random.Random(11)
     rows = [(i, words(rng, 30) + (" grumble snarl" if i % 5 == 0 else ""), int(i % 5 == 0)) for i in range(300)]
@@ -628,8 +664,8 @@ def test_mixture(spark):
     rows = [(i, words(rng, rng.randrange(0, 60)), "p", rng.choice(["a", "a", "a", "b", "ü", None])) for i in range(600)]
     rows += [(600, None, "p", "a"), (601, "", "p", "null words"), (7, "twice", "p", "b"), (7, "twice", "p", "b")]
     df = make_docs(spark, rows).withColumn("size", F.lit("clash"))
-    got = mixture.mix(df.drop("size")).collect()
-    again = mixture.mix(df.drop("size").repartition(7)).collect()
+    got = mixture.mix(df).collect()
+    again = mixture.mix(df.repartition(7)).collect()
     assert sorted(map(str, got)) == sorted(map(str, again)) and len(got) == len(rows)
     by = {}
     for r in got:
@@ -641,4 +677,13 @@ def test_mixture(spark):
     staged = mixture.stage(spark, df, "")
     assert sum(r["mix_words"] for r in staged.collect()) == sum(n for _, n, _ in by.values())
     assert all(len(space_words(r["text"])) == r["mix_words"] for r in staged.collect())
-    assert mixture.mix(df.limit(0).drop("size")).count() == 0
+    assert mixture.mix(df.limit(0)).count() == 0
+
+
+def test_mixture_of_equal_rows(spark):
+    """Rows that no key tells apart share the edge of the target."""
+    rows = [(None, "a b c", "p", "a")] * 50 + [(1, "a b c d", "p", "b")] * 50 + [(2, "x " * 50_000, "p", "c")]
+    got = mixture.mix(make_docs(spark, rows)).collect()
+    for s in "abc":
+        mine = [r for r in got if r["source"] == s]
+        assert abs(sum(r["taken"] for r in mine) - mine[0]["target"]) <= 1 and all(r["taken"] <= 2 * r["size"] for r in mine)
