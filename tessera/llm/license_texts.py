@@ -11,15 +11,61 @@ _BSD_SOURCE = "1. Redistributions of source code must retain the above copyright
 _BSD_BINARY = "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
 _BSD_NAME = "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
 
-LICENSES = {
+_BSD_ADVERT = "3. All advertising materials mentioning features or use of this software must display the following acknowledgement: This product includes software developed by the organization."
+_BSD_NAME_4 = "4. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+_WARRANTY_BSD_4 = """THIS SOFTWARE IS PROVIDED BY COPYRIGHT HOLDER "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL COPYRIGHT HOLDER BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+_ADVERT_X11 = "Except as contained in this notice, the name of the X Consortium shall not be used in advertising or otherwise to promote the sale, use or other dealings in this Software without prior written authorization from the X Consortium."
+
+TEXTS = {
     "0BSD": "\n".join(["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.", _WARRANTY_ISC]),
+    "BSD-1-Clause": "\n".join([_BSD_HEAD, _BSD_SOURCE, _WARRANTY_BSD]),
     "BSD-2-Clause": "\n".join([_BSD_HEAD, _BSD_SOURCE, _BSD_BINARY, _WARRANTY_BSD]),
     "BSD-3-Clause": "\n".join([_BSD_HEAD, _BSD_SOURCE, _BSD_BINARY, _BSD_NAME, _WARRANTY_BSD]),
+    "BSD-4-Clause": "\n".join([_BSD_HEAD, _BSD_SOURCE, _BSD_BINARY, _BSD_ADVERT, _BSD_NAME_4, _WARRANTY_BSD_4]),
+    "BSL-1.0": """Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following:
+The copyright notices in the Software and this entire statement, including the above license grant, this restriction and the following disclaimer, must be included in all copies of the Software, in whole or in part, and all derivative works of the Software, unless such copies or derivative works are solely in the form of machine-executable object code generated by a source language processor.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO EVENT SHALL THE COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+    "FSFAP": "Copying and distribution of this file, with or without modification, are permitted in any medium without royalty provided the copyright notice and this notice are preserved. This file is offered as-is, without any warranty.",
+    "Fair": "Usage of the works is permitted provided that this instrument is retained with the works, so that any entity that uses the works is notified of this instrument.\nDISCLAIMER: THE WORKS ARE WITHOUT WARRANTY.",
     "ISC": "\n".join(["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.", _WARRANTY_ISC]),
     "MIT": "\n".join([_PERMIT_MIT + ", subject to the following conditions:", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.", _WARRANTY_MIT]),
     "MIT-0": "\n".join([_PERMIT_MIT + ".", _WARRANTY_MIT]),
+    "NTP": "Permission to use, copy, modify, and distribute this software and its documentation for any purpose with or without fee is hereby granted, provided that the above copyright notice appears in all copies and that both the copyright notice and this permission notice appear in supporting documentation, and that the name of the copyright holder not be used in advertising or publicity pertaining to distribution of the software without specific, written prior permission. The copyright holder makes no representations about the suitability this software for any purpose. It is provided \"as is\" without express or implied warranty.",
+    "Unlicense": """This is free and unencumbered software released into the public domain.
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.
+In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.
+For more information, please refer to <https://unlicense.org/>""",
+    "X11": "\n".join([_PERMIT_MIT + ", subject to the following conditions:", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.", _WARRANTY_MIT.replace("AUTHORS OR COPYRIGHT HOLDERS", "X CONSORTIUM"), _ADVERT_X11]),
+    "Zlib": """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.
+Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:
+1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required.
+2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
+3. This notice may not be removed or altered from any source distribution.""",
+}
+
+#: Titles under which the texts are published.
+TITLES = {
+    "0BSD": ("BSD Zero Clause License", "Zero-Clause BSD"),
+    "BSD-1-Clause": ("BSD 1-Clause License",),
+    "BSD-2-Clause": ("BSD 2-Clause License", 'BSD 2-Clause "Simplified" License', "The BSD 2-Clause License", "Simplified BSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", 'BSD 3-Clause "New" or "Revised" License', "The BSD 3-Clause License", "New BSD License"),
+    "BSD-4-Clause": ("BSD 4-Clause License", 'BSD 4-Clause "Original" or "Old" License'),
+    "BSL-1.0": ("Boost Software License - Version 1.0 - August 17th, 2003", "Boost Software License 1.0"),
+    "FSFAP": ("FSF All Permissive License", "GNU All-Permissive License"),
+    "Fair": ("Fair License",),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)"),
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)", "Expat License"),
+    "MIT-0": ("MIT No Attribution", "MIT No Attribution License", "MIT-0"),
+    "NTP": ("NTP License",),
+    "Unlicense": ("The Unlicense", "Unlicense"),
+    "X11": ("X11 License", "The X11 License"),
+    "Zlib": ("zlib License", "The zlib License", "zlib/libpng License"),
 }
 
+#: (id, text) of every published form: alone and under each of its titles.
+LICENSES = [(k, t) for k, text in TEXTS.items() for t in (text, *(f"{title}\n\n{text}" for title in TITLES.get(k, ())))]
+
 NOTICES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "BSD-3-Clause": "Licensed under the BSD 3-Clause License.",

@@ -13,8 +13,12 @@ walking ``movi`` where there is no index), and cuts shots where the histogram
 difference of neighbouring frames exceeds ``mean + SIGMA * deviation`` of the
 other differences in a sliding window, or ``SURE``, and ``FLOOR`` at least.
 
+Frames are packed, written, read and unpacked ``BLOCK`` at a time, so besides a text and its file only some
+megabytes are held.
+
 Defined results: a null or empty text is one frame of blanks; equal texts give
-equal files; broken files raise ``ValueError``.
+equal files; a broken file gives a row with its ``error`` (``Avi`` and ``decode_frames`` raise ``ValueError``); a null
+file gives nulls; new columns replace others of their names, all other columns pass through.
 """
 
 from __future__ import annotations
@@ -22,7 +26,7 @@ from __future__ import annotations
 import hashlib
 import struct
 import zlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -34,6 +38,8 @@ from tessera.llm.textkit import load, map_texts
 WIDTH, HEIGHT, FPS = 16, 12, 25
 UNIT = WIDTH * HEIGHT
 WINDOW, SIGMA, FLOOR = 8, 2.0, 0.5
+#: Frames worked on at once.
+BLOCK = 2048
 #: A difference above this always cuts, however many cuts lie around it; frames without a bin in common differ by 2.
 SURE = 1.5
 _SOI, _EOI, _SOF3, _DHT, _SOS = 0xD8, 0xD9, 0xC3, 0xC4, 0xDA
@@ -190,30 +196,34 @@ def _chunk(name: bytes, body: bytes) -> bytes:
 def write_avi(frames: np.ndarray, fps: int = FPS) -> bytes:
     """An AVI file with one motion-JPEG video stream and an index."""
     n, height, width = frames.shape
-    files = encode_frames(frames)
-    largest = max(map(len, files), default=0)
+    movi, index, at, largest = bytearray(b"movi"), bytearray(), 4, 0
+    for k in range(0, n, BLOCK):
+        for f in encode_frames(frames[k : k + BLOCK]):
+            movi += _chunk(b"00dc", f)
+            index += struct.pack("<4sIII", b"00dc", 0x10, at, len(f))
+            at, largest = len(movi), max(largest, len(f))
     avih = struct.pack("<14I", 1_000_000 // fps, 0, 0, 0x10, n, 0, 1, largest, width, height, 0, 0, 0, 0)
     strh = b"vids" + b"MJPG" + struct.pack("<IHHIIIIIIiI4h", 0, 0, 0, 0, 1, fps, 0, n, largest, -1, 0, 0, 0, width, height)
     strf = struct.pack("<IiiHH4sIiiII", 40, width, height, 1, 24, b"MJPG", width * height * 3, 0, 0, 0, 0)
     strl = _chunk(b"LIST", b"strl" + _chunk(b"strh", strh) + _chunk(b"strf", strf))
     hdrl = _chunk(b"LIST", b"hdrl" + _chunk(b"avih", avih) + strl)
-    movi, index, at = [], [], 4
-    for f in files:
-        c = _chunk(b"00dc", f)
-        movi.append(c)
-        index.append(struct.pack("<4sIII", b"00dc", 0x10, at, len(f)))
-        at += len(c)
-    body = hdrl + _chunk(b"LIST", b"movi" + b"".join(movi)) + _chunk(b"idx1", b"".join(index))
-    return b"RIFF" + struct.pack("<I", len(body) + 4) + b"AVI " + body
+    size = 4 + len(hdrl) + 8 + len(movi) + 8 + len(index)
+    return b"".join([b"RIFF", struct.pack("<I", size), b"AVI ", hdrl, b"LIST", struct.pack("<I", len(movi)), movi, b"idx1", struct.pack("<I", len(index)), index])
 
 
 class Avi:
-    """Frame rate and frame files of an AVI, found by its index."""
+    """Frame rate of an AVI and where its frames are (offset, length), found by its index."""
 
     def __init__(self, data: bytes):
+        self.data, self.fps = data, float(FPS)
+        try:
+            self.places = self._parse(data)
+        except struct.error as e:
+            raise ValueError("not an AVI file") from e
+
+    def _parse(self, data: bytes) -> list[tuple[int, int]]:
         if data[:4] != b"RIFF" or data[8:12] != b"AVI ":
             raise ValueError("not an AVI file")
-        self.fps, self.frames = float(FPS), []
         movi, index = None, None
         for name, at, size in self._walk(data, 12, min(len(data), 8 + struct.unpack("<I", data[4:8])[0])):
             if name == b"LIST" and data[at : at + 4] == b"hdrl":
@@ -226,19 +236,32 @@ class Avi:
                 index = (at, size)
         if movi is None:
             raise ValueError("no movie data")
-        if index:
-            base = movi[0]
-            for k in range(0, index[1] - 15, 16):
-                name, _, offset, size = struct.unpack("<4sIII", data[index[0] + k : index[0] + k + 16])
-                if name[2:] != b"dc":
-                    continue
-                if data[base + offset : base + offset + 4] != name:
-                    base = 0  # some writers count from the start of the file
-                    if data[offset : offset + 4] != name:
-                        raise ValueError("index points elsewhere")
-                self.frames.append(data[base + offset + 8 : base + offset + 8 + size])
-        else:
-            self.frames = [data[a : a + s] for name, a, s in self._walk(data, movi[0] + 4, movi[0] + movi[1]) if name[2:] == b"dc"]
+        if not index:
+            return [(a, s) for name, a, s in self._walk(data, movi[0] + 4, movi[0] + movi[1]) if name[2:] == b"dc"]
+        base, places = movi[0], []
+        for name, _, offset, size in struct.iter_unpack("<4sIII", data[index[0] : index[0] + index[1] // 16 * 16]):
+            if name[2:] != b"dc":
+                continue
+            if data[base + offset : base + offset + 4] != name:
+                base = 0  # some writers count from the start of the file
+                if data[offset : offset + 4] != name:
+                    raise ValueError("index points elsewhere")
+            places.append((base + offset + 8, size))
+        return places
+
+    @property
+    def frames(self) -> list[bytes]:
+        return [self.data[a : a + n] for a, n in self.places]
+
+    def blocks(self, size: int = BLOCK) -> Iterator[np.ndarray]:
+        """Decoded frames, some at a time; all have the size of the first."""
+        shape = None
+        for k in range(0, len(self.places), size):
+            part = decode_frames([self.data[a : a + n] for a, n in self.places[k : k + size]])
+            if shape not in (None, part.shape[1:]):
+                raise ValueError("frames differ in size")
+            shape = part.shape[1:]
+            yield part
 
     @staticmethod
     def _walk(data: bytes, at: int, end: int):
@@ -250,20 +273,27 @@ class Avi:
             at += 8 + size + size % 2
 
 
-def shots(frames: np.ndarray, window: int = WINDOW, sigma: float = SIGMA, floor: float = FLOOR, sure: float = SURE, tail: int = 0) -> list[int]:
-    """First frames of the shots, by adaptive histogram differences (16 bins).
+def histograms(frames: np.ndarray) -> np.ndarray:
+    """How many samples of each frame lie in each of 16 bins."""
+    n = len(frames)
+    bins = (frames.reshape(n, -1) >> 4).astype(np.int64) + 16 * np.arange(n)[:, None]
+    return np.bincount(bins.ravel(), minlength=16 * n).reshape(n, 16)
+
+
+def shots(frames: np.ndarray, window: int = WINDOW, sigma: float = SIGMA, floor: float = FLOOR, sure: float = SURE) -> list[int]:
+    """First frames of the shots of decoded frames."""
+    return cut_shots(histograms(frames), window, sigma, floor, sure)
+
+
+def cut_shots(hist: np.ndarray, window: int = WINDOW, sigma: float = SIGMA, floor: float = FLOOR, sure: float = SURE) -> list[int]:
+    """First frames of the shots, by adaptive differences of the frames' histograms, each held against its number of samples.
 
     A difference is judged by those around it, without itself; one that stands alone by ``floor``.
-    The last ``tail`` samples of the last frame are padding and do not count.
     """
-    n = len(frames)
+    n = len(hist)
     if n < 2:
         return [0] if n else []
-    bins = (frames.reshape(n, -1) >> 4).astype(np.int64) + 16 * np.arange(n)[:, None]
-    bins, size = bins.ravel(), np.full((n, 1), frames[0].size)
-    size[-1] -= tail
-    hist = np.bincount(bins[: len(bins) - tail], minlength=16 * n).reshape(n, 16) / size
-    diff = np.abs(np.diff(hist, axis=0)).sum(axis=1)
+    diff = np.abs(np.diff(hist / np.maximum(hist.sum(axis=1, keepdims=True), 1), axis=0)).sum(axis=1)
     one, two = (np.concatenate([[0.0], np.cumsum(x)]) for x in (diff, diff * diff))
     k = np.arange(len(diff))
     lo, hi = np.maximum(k - window, 0), np.minimum(k + window + 1, len(diff))
@@ -273,6 +303,24 @@ def shots(frames: np.ndarray, window: int = WINDOW, sigma: float = SIGMA, floor:
     return [0, *(np.flatnonzero((diff > np.minimum(m + sigma * dev + 1e-9, sure)) & (diff >= floor)) + 1).tolist()]
 
 
+def inspect(media: bytes) -> dict:
+    """Payload and file digests and the clips of an AVI; blanks that fill up the last frame are no part of its histogram."""
+    avi = Avi(media)
+    digest, hists, size, tail, blanks = hashlib.sha256(), [], 0, b"", 0
+    for frames in avi.blocks():
+        data = frames.tobytes()
+        digest.update(data)
+        hists.append(histograms(frames))
+        size, tail = size + len(data), (tail + data)[-max(16, frames[0].size) :]
+    hist = np.concatenate([np.zeros((0, 16), np.int64), *hists])
+    if len(hist) and (blanks := len(tail) - len(tail.rstrip(b" "))) < hist[-1].sum():
+        hist[-1, ord(" ") >> 4] -= blanks
+    starts = cut_shots(hist)
+    ends = [*starts[1:], len(hist)]
+    clips = [{"clip": i, "start_frame": s, "frames": e - s, "start_s": s / avi.fps, "end_s": e / avi.fps} for i, (s, e) in enumerate(zip(starts, ends, strict=False))]
+    return {"payload_bytes": size, "payload_sha256": digest.hexdigest(), "tail_crc32": zlib.crc32(tail[-16:]), "clips": clips}
+
+
 def payload_of(text: str | None) -> tuple[int, bytes]:
     data = (text or "").encode()
     return len(data), data + b" " * (-len(data) % UNIT if data else UNIT)
@@ -299,26 +347,22 @@ def to_avi(docs: DataFrame, text: str = "text", out: str = "media") -> DataFrame
 
 
 def read_avi(files: DataFrame, media: str = "media") -> DataFrame:
-    """Decode a column of AVI files: payload digests, the clips, and what the file weighs; the file itself goes."""
-    new = [("payload_bytes", T.LongType()), ("payload_sha256", T.StringType()), ("tail_crc32", T.LongType()), ("media_bytes", T.LongType()), ("media_sha256", T.StringType()), ("clips", T.ArrayType(CLIP))]
+    """Decode a column of AVI files: payload digests, the clips, and what the file weighs, or what is wrong with it; the file itself goes."""
+    new = [("payload_bytes", T.LongType()), ("payload_sha256", T.StringType()), ("tail_crc32", T.LongType()), ("media_bytes", T.LongType()), ("media_sha256", T.StringType()), ("clips", T.ArrayType(CLIP)), ("error", T.StringType())]
 
     def make() -> Callable:
+        def row(b: bytes | None) -> dict:
+            if b is None:
+                return {}
+            about = {"media_bytes": len(b), "media_sha256": hashlib.sha256(b).hexdigest()}
+            try:
+                return about | inspect(b)
+            except (ValueError, IndexError, KeyError, StopIteration, RuntimeError, struct.error) as e:
+                return about | {"error": f"{type(e).__name__}: {e}"}
+
         def run(blobs: list[bytes | None]) -> tuple:
-            cols: tuple = ([], [], [], [], [], [])
-            for b in blobs:
-                row: tuple = (None,) * 6
-                if b is not None:
-                    avi = Avi(b)
-                    frames = decode_frames(avi.frames)
-                    data = frames.tobytes()
-                    blanks = len(data) - len(data.rstrip(b" "))
-                    starts = shots(frames, tail=blanks if blanks < UNIT else 0)
-                    ends = [*starts[1:], len(frames)]
-                    clips = [{"clip": i, "start_frame": s, "frames": e - s, "start_s": s / avi.fps, "end_s": e / avi.fps} for i, (s, e) in enumerate(zip(starts, ends, strict=False))]
-                    row = (len(data), hashlib.sha256(data).hexdigest(), zlib.crc32(data[-16:]), len(b), hashlib.sha256(b).hexdigest(), clips)
-                for c, x in zip(cols, row, strict=True):
-                    c.append(x)
-            return cols
+            rows = [row(b) for b in blobs]
+            return tuple([r.get(n) for r in rows] for n, _ in new)
 
         return run
 
@@ -336,7 +380,7 @@ def op6_avi_mjpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
     starts = F.array_join(F.transform("clips", lambda c: c["start_frame"].cast("string")), ",")
     total = F.aggregate("clips", F.lit(0).cast("long"), lambda a, c: a + c["frames"])
     feature = F.concat(F.lit("frames="), total.cast("string"), F.lit(";shots="), F.size("clips").cast("string"), F.lit(";starts="), starts)
-    return read.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", feature.alias("feature"))
+    return read.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", F.coalesce(feature, F.concat(F.lit("error: "), "error")).alias("feature"))
 
 
 QUERIES = {"op6_avi_mjpeg": op6_avi_mjpeg}

@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import itertools
+import os
 import random
 import zlib
 
@@ -472,6 +473,41 @@ def test_media_rows(spark):
     assert [c["start_frame"] for c in got[6]["clips"]] == [0, 10]
     assert mjpeg.clip_rows(mjpeg.read_avi(mjpeg.to_avi(df))).count() == 7
     assert mjpeg.read_avi(mjpeg.to_avi(df.limit(0))).count() == 0
+    clash = mjpeg.read_avi(mjpeg.to_avi(df.withColumnsRenamed({"extra": "n_bytes"})).withColumn("clips", F.lit("x")))
+    assert clash.columns.count("n_bytes") == clash.columns.count("clips") == 1
+
+
+def test_broken_files_and_long_texts(spark, monkeypatch):
+    data = mjpeg.write_avi(np.arange(192 * 3, dtype=np.uint16).astype(np.uint8).reshape(3, 12, 16))
+    first = mjpeg.Avi(data).places[0][0]
+    broken = [data[:300], b"", b"RIFF", data[:first] + b"\0\0" + data[first + 2 :], data[: first + 60] + b"\xff" * 99 + data[first + 159 :]]
+    rows = spark.createDataFrame([(i, b) for i, b in enumerate([None, data, *broken])], "id int, media binary")
+    got = mjpeg.read_avi(rows).orderBy("id").collect()
+    assert got[0]["payload_bytes"] is got[0]["error"] is None and got[1]["payload_bytes"] == 576 and got[1]["error"] is None
+    assert all(r["error"] and r["clips"] is None and r["media_bytes"] == len(b) for r, b in zip(got[2:], broken, strict=True))
+    rng = random.Random(22)
+    texts = [words(rng, n) + "é" for n in (3, 400, 9000)]
+    whole = [mjpeg.inspect(mjpeg.write_avi(np.frombuffer(mjpeg.payload_of(t)[1], np.uint8).reshape(-1, 12, 16))) for t in texts]
+    monkeypatch.setattr(mjpeg, "BLOCK", 3)
+    for t, w in zip(texts, whole, strict=True):
+        media = mjpeg.write_avi(np.frombuffer(mjpeg.payload_of(t)[1], np.uint8).reshape(-1, 12, 16))
+        assert mjpeg.inspect(media) == w and b"".join(x.tobytes() for x in mjpeg.Avi(media).blocks(3)) == mjpeg.payload_of(t)[1]
+
+
+def test_shots_against_brute_force():
+    rng = np.random.default_rng(2)
+    for _ in range(40):
+        levels = rng.integers(0, 16, rng.integers(2, 40)) * 16
+        frames = np.repeat(levels, rng.integers(1, 9))[:, None, None].astype(np.uint8) + rng.integers(0, 20, (1, 12, 16)).astype(np.uint8)
+        hist = [[sum(int(x) >> 4 == k for x in f.ravel()) / 192 for k in range(16)] for f in frames]
+        diff = [sum(abs(x - y) for x, y in zip(a, b, strict=True)) for a, b in itertools.pairwise(hist)]
+        want = [0]
+        for k, d in enumerate(diff):
+            near = [diff[j] for j in range(max(0, k - 8), min(len(diff), k + 9)) if j != k] or [0.0]
+            limit = min(np.mean(near) + 2 * np.std(near), 1.5)
+            want += [k + 1] if d > limit + 1e-6 and d >= 0.5 else []
+        near_limit = set(mjpeg.shots(frames)) ^ set(want)
+        assert not near_limit
 
 
 def test_shots_of_short_clips_and_dense_cuts():
@@ -484,7 +520,7 @@ def test_shots_of_short_clips_and_dense_cuts():
         assert mjpeg.shots(frames) == list(range(0, 60, every))
     short = np.stack([black, black])
     short[1, 1:] = 32
-    assert mjpeg.shots(short) == [0, 1] and mjpeg.shots(short, tail=11 * 16) == [0]
+    assert mjpeg.shots(short) == [0, 1] and len(mjpeg.inspect(mjpeg.write_avi(short))["clips"]) == 1
     rng = np.random.default_rng(1)
     assert all(mjpeg.shots(rng.integers(0, 64, (n, 12, 16), dtype=np.uint8)) == [0] for n in range(1, 40))
 
@@ -493,16 +529,46 @@ def test_shots_of_short_clips_and_dense_cuts():
 
 
 def test_licenses(spark):
-    from tessera.llm.license_texts import LICENSES, NOTICES
+    from tessera.llm.license_texts import LICENSES, NOTICES, TEXTS
 
-    mit = LICENSES["MIT"]
+    mit = TEXTS["MIT"]
     british = "Copyright (c) 2020 Somebody\nAll rights reserved.\n\n" + mit.upper().replace("SUBLICENSE", "SUB-LICENCE")
-    rows = [(1, mit), (2, british), (3, mit + " more"), (4, None), (5, ""), (6, "text\nreleased under the MIT licence!\nx"), (6, "...")]
-    df = spark.createDataFrame([(i, t, "z") for i, t in rows], "doc_id long, text string, known_id string")
-    got = licenses.scan(df.drop("known_id"), licenses.known_table(spark, LICENSES), NOTICES).collect()
-    assert [(r["doc_id"], r["license_id"], r["notice_ids"]) for r in got] == [(1, "MIT", ""), (2, "MIT", ""), (3, None, ""), (4, None, ""), (5, None, ""), (6, None, "MIT"), (6, None, "")]
-    assert got[3]["canonical_sha256"] is None and got[4]["canonical_sha256"] == hashlib.sha256(b"").hexdigest()
-    assert licenses.scan(df.limit(0).drop("known_id"), licenses.known_table(spark, {}), {}).count() == 0
+    rows = [(1, mit), (2, british), (3, mit + " more"), (4, None), (5, ""), (6, "text\nreleased under the MIT licence!\nx"), (6, "..."), (7, "x " * 400_000 + "\nReleased under the MIT License.")]
+    df = spark.createDataFrame([(i, t, "z", "clash") for i, t in rows], "doc_id long, text string, known_id string, license_id string")
+    got = licenses.scan(df, licenses.known_table(spark, LICENSES), NOTICES).collect()
+    assert [(r["doc_id"], r["license_id"], r["notice_ids"]) for r in got] == [(1, "MIT", ""), (2, "MIT", ""), (3, None, ""), (4, None, ""), (5, None, ""), (6, None, "MIT"), (6, None, ""), (7, None, "MIT")]
+    assert got[3]["canonical_sha256"] is None and got[4]["canonical_sha256"] == hashlib.sha256(b"").hexdigest() and got[0]["known_id"] == "z"
+    assert [got[i]["n_words"] for i in (3, 4, 6, 7)] == [None, 0, 0, 400_005]
+    assert licenses.scan(df.limit(0), licenses.known_table(spark, []), {}).count() == 0
+
+
+def test_every_licence_in_its_published_wrappings(spark, tmp_path):
+    import textwrap
+
+    from tessera.llm.license_texts import LICENSES, TEXTS
+
+    def forms(t):
+        return [t, "\n\n".join(textwrap.fill(x, 79) for x in t.split("\n")), "Copyright (c) 2001-2024 The Authors <a@b.org>. All rights reserved.\n\n" + textwrap.fill(t, 60), "(c) 2020 Somebody\n" + t.replace("\n", " "), textwrap.fill(t, 72).replace("\n", "\r\n")]
+
+    rows = [(k, x) for k, t in LICENSES for x in forms(t)] + [("MIT", "Copyright (c) 2020 X Y. " + TEXTS["MIT"].replace("\n", " ")), ("ISC", "Copyright 2020 X " + TEXTS["ISC"].replace("\n", " "))]
+    df = spark.createDataFrame(rows, "want string, text string")
+    got = licenses.scan(df, licenses.known_table(spark, LICENSES), {}).collect()
+    assert len({t for _, t in LICENSES}) > 40 and [r["license_id"] for r in got] == [k for k, _ in rows]
+    for k, t in TEXTS.items():
+        (tmp_path / f"{k}.txt").write_text(t)
+    known = licenses.known_files(spark, f"file://{tmp_path}")
+    assert {r["known_id"] for r in known.collect()} == set(TEXTS)
+    assert licenses.scan(df, known, {}).where("license_id = want").count() == 5 * len(TEXTS) + 2
+
+
+@pytest.mark.skipif(not os.path.exists("/usr/share/common-licenses/GPL-3"), reason="needs licence texts")
+def test_long_licences_from_files(spark):
+    folder = "/usr/share/common-licenses"
+    names = [n for n in sorted(os.listdir(folder)) if not os.path.islink(f"{folder}/{n}")]
+    texts = {n: open(f"{folder}/{n}", encoding="utf-8", errors="replace").read() for n in names}
+    df = spark.createDataFrame([(n, t.upper().replace("\n", "\r\n").replace("LICENSE", "Licence")) for n, t in texts.items()] + [("none", texts[names[0]] + " more")], "want string, text string")
+    got = licenses.scan(df, licenses.known_files(spark, [f"file://{folder}/{n}" for n in names]), {}).collect()
+    assert len(names) > 8 and all(r["license_id"] == (r["want"] if r["want"] != "none" else None) for r in got)
 
 
 # ---- 8 ------------------------------------------------------------------------------
