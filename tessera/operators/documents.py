@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tessera.functions.text import DASHES, doi_to_file, normalize_text
+from tessera.functions.text import DASHES, doi_to_file, normalize_text, strip
 from tessera.schemas import EXTRACTION, STEP
 from tessera.session import materialize
 
@@ -59,7 +59,7 @@ def materials(docs: DataFrame) -> DataFrame:
 def name_records(docs: DataFrame) -> DataFrame:
     """``doi, material_index, raw_name, formula, role`` of materials with a non-empty name."""
     rows = materials(docs).where("name is not null and name <> ''")
-    return rows.select("doi", "material_index", F.trim("name").alias("raw_name"), "formula", "role")
+    return rows.select("doi", "material_index", strip("name").alias("raw_name"), "formula", "role")
 
 
 def properties(docs: DataFrame) -> DataFrame:
@@ -95,7 +95,7 @@ def units_used(docs: DataFrame) -> DataFrame:
     """``unit`` of properties, conditions and parameters: non-empty strings, stripped (one row per occurrence)."""
     params = steps(docs).select(F.explode("parameters").alias("p")).select(F.col("p.unit").alias("unit"))
     every = properties(docs).select("unit").union(conditions(docs).select("unit")).union(params)
-    return every.select(F.trim("unit").alias("unit")).where("unit is not null and unit <> ''")
+    return every.select(strip("unit").alias("unit")).where("unit is not null and unit <> ''")
 
 
 # ---- walks over arbitrary JSON -------------------------------------------------
@@ -136,9 +136,9 @@ def every_unit(df: DataFrame, key: str = "file_path", text: str = "text") -> Dat
 
 
 def value_objects(df: DataFrame, key: str = "file_path", text: str = "text", within: str | None = None) -> DataFrame:
-    """``key, path, value, unit, name`` of every object with a ``unit`` (or, ``within`` a named list, every object of it).
+    """``key, path, value, unit, name, json`` of every object with a ``unit`` (or, ``within`` a named list, every object of it).
 
-    Values are text, objects and lists as JSON.  Each object is met once, nested ones too.
+    Values are text, objects and lists as JSON; ``json`` is the value as it stands.  Each object is met once, nested ones too.
     """
 
     def leaf(v: object) -> str | None:
@@ -152,7 +152,7 @@ def value_objects(df: DataFrame, key: str = "file_path", text: str = "text", wit
             path, x, inside = stack.pop()
             if isinstance(x, dict):
                 if inside or within is None and "unit" in x:
-                    yield path, leaf(x.get("value")), leaf(x.get("unit")), leaf(x.get("property_name"))
+                    yield path, leaf(x.get("value")), leaf(x.get("unit")), leaf(x.get("property_name")), json.dumps(x.get("value"), ensure_ascii=False)
                 for k in reversed(list(x)):
                     if k == within and isinstance(x[k], list):
                         stack += [(f"{path}.{k}[{i}]", e, True) for i, e in reversed(list(enumerate(x[k])))]
@@ -161,7 +161,75 @@ def value_objects(df: DataFrame, key: str = "file_path", text: str = "text", wit
             elif isinstance(x, list):
                 stack += [(f"{path}[{i}]", e, False) for i, e in reversed(list(enumerate(x)))]
 
-    return _walk(make, f"{key} string, path string, value string, unit string, name string", df, key, text)
+    return _walk(make, f"{key} string, path string, value string, unit string, name string, json string", df, key, text)
+
+
+def json_text(c: Column) -> Column:
+    """A text as a JSON string; null stays null."""
+    whole = F.to_json(F.array(c))
+    return F.when(c.isNotNull(), whole.substr(F.lit(2), F.length(whole) - 2))
+
+
+def write_back(docs: DataFrame, updates: DataFrame, fields: list[str], key: str = "file_path", text: str = "text") -> DataFrame:
+    """Documents with ``fields`` of the objects at ``updates (key, path)`` set to the columns of those names.
+
+    Columns are JSON texts; a null column leaves its field alone.  A document without updates stays as it is, letter by letter.
+    """
+    change = F.struct("path", F.to_json(F.struct(*fields)).alias("set"))
+    folded = updates.groupBy(F.col(key).alias("__key")).agg(F.collect_list(change).alias("__changes"))
+    joined = docs.join(folded, F.col(key) == F.col("__key"), "left").drop("__key")
+
+    @F.pandas_udf("string")
+    def apply(texts: pd.Series, changes: pd.Series) -> pd.Series:
+        def one(t: str | None, found: list | None) -> str | None:
+            if t is None or found is None or not len(found):
+                return t
+            doc = json.loads(t)
+            places = {c["path"]: json.loads(c["set"]) for c in found}
+            for path, x in _objects(doc):
+                for name, value in places.get(path, {}).items():
+                    x[name] = json.loads(value)
+            return json.dumps(doc, ensure_ascii=False)
+
+        return pd.Series([one(t, c) for t, c in zip(texts, changes, strict=True)], dtype=object)
+
+    return joined.withColumn(text, apply(text, "__changes")).drop("__changes")
+
+
+def _objects(doc: object) -> Iterator[tuple[str, dict]]:
+    """Every object of a document with its path, as ``value_objects`` names it."""
+    stack: list[tuple[str, object]] = [("$", doc)]
+    while stack:
+        path, x = stack.pop()
+        if isinstance(x, dict):
+            yield path, x
+            stack += [(f"{path}.{k}", v) for k, v in x.items()]
+        elif isinstance(x, list):
+            stack += [(f"{path}[{i}]", v) for i, v in enumerate(x)]
+
+
+def convert_documents(docs: DataFrame, entries: DataFrame, key: str = "file_path", text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """Convert every value object of JSON documents in place; returns the documents and the flat rows of what was done.
+
+    The unit is rewritten and ``original_unit, original_value`` are added wherever there is a unit; the value becomes a number
+    where it could be converted and stays as it is otherwise.  An object inside a value is converted once, like any other.
+    """
+    from tessera.operators.units import normalize_units
+
+    done = materialize(normalize_units(value_objects(docs, key, text), entries), "converted")
+    number = F.when(F.col("status") == "normalized", F.col("value"))
+    updates = done.where("status <> 'missing_unit'").select(key, "path", number.alias("value"), json_text(F.col("unit")).alias("unit"), json_text(F.col("original_unit")).alias("original_unit"), F.col("json").alias("original_value"))
+    return write_back(docs, updates, ["value", "unit", "original_unit", "original_value"], key, text), done
+
+
+def rename_documents(docs: DataFrame, mapping: DataFrame, key: str = "file_path", text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """Rename the properties of JSON documents in place, old names kept; returns the documents and the flat rows of what was done."""
+    from tessera.operators.units import apply_property_map
+
+    rows = value_objects(docs, key, text, within="performance_and_properties").withColumnRenamed("name", "property_name")
+    done = materialize(apply_property_map(rows, mapping), "renamed")
+    updates = done.where("status <> 'empty'").select(key, "path", F.when(F.col("status") == "normalized", json_text(F.col("property_name"))).alias("property_name"), json_text(F.col("original_property_name")).alias("original_property_name"))
+    return write_back(docs, updates, ["property_name", "original_property_name"], key, text), done
 
 
 def _normal(s: str) -> str:

@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 from tessera.functions.text import electrolyte, numeric_and_unit, precursor_name, precursor_role, profile_text
 from tessera.operators import documents as D
 from tessera.operators.vector import top_k
+from tessera.session import materialize
 
+# The properties that a material's profile names.
 KEY_PROPERTIES = ("specific_capacitance", "energy_density", "specific_surface_area", "capacitance_retention")
 
 
@@ -58,7 +60,7 @@ def build_graph(docs: DataFrame) -> dict[str, DataFrame]:
     g["precursor"] = merge_nodes(pre, "name", F.struct("doi", "material_index", "step_order", "pos"), on_create=["original_name", "role_hint"])
     par = steps.select("doi", "step_id", F.posexplode("parameters").alias("pos", "q")).select("doi", "step_id", D.uid("param", "step_id", "pos").alias("parameter_id"), "q.*")
     g["parameter"] = par.select("parameter_id", F.col("parameter_name").alias("name"), D.variant_text("value").alias("value"), "unit", "description", "original_unit", D.variant_text("original_value").alias("original_value"))
-    g["property"] = props.select("property_id", "property_name", "original_property_name", F.col("value_text").alias("value"), "unit", F.col("original_value_text").alias("original_value"), "original_unit")
+    g["property"] = props.select("property_id", "property_name", "original_property_name", F.col("value_text").alias("value"), "unit", F.col("original_value_text").alias("original_value"), "original_unit", variant_number("value").alias("number"))
     split = numeric_and_unit("value_text")
     plain = conds.where(~is_el)
     g["test_condition"] = plain.select("condition_id", "condition_name", F.coalesce(split["num"].cast("string"), "value_text").alias("value"), F.coalesce(F.nullif(split["unit"], F.lit("")), "unit", F.lit("")).alias("unit"), F.col("value_text").alias("raw_value"))
@@ -105,17 +107,27 @@ def upsert(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
 # ---- queries -------------------------------------------------------------------
 
 
-def numeric(value: Column | str, coerce: bool) -> Column:
-    """A stored value as a number; without coercion only real numbers count, with it numeric strings do too."""
+def numeric(value: Column | str) -> Column:
+    """A stored text as a number, if it spells one."""
     v = F.col(value) if isinstance(value, str) else value
-    number = v.try_cast("double")
-    return F.when(v.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"), number) if coerce else number
+    return F.when(v.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"), v.try_cast("double"))
+
+
+def variant_number(value: Column | str) -> Column:
+    """The number that a VARIANT leaf is; a text is none, even if it spells one."""
+    v = F.col(value) if isinstance(value, str) else value
+    return F.when(F.schema_of_variant(v).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)"), F.try_variant_get(v, "$", "double"))
 
 
 def search_with_property(vectors: DataFrame, probe: list[float], exhibits: DataFrame, props: DataFrame, name: str, least: float, k: int = 20, limit: int = 10, coerce: bool = True) -> DataFrame:
-    """Top k materials, then those with a property above a bound: one row per material and property, best first."""
+    """Top k materials, then those with a property above a bound: one row per material and property, best first.
+
+    With ``coerce`` texts that spell numbers count; without it only values that are numbers do, which the
+    column ``number`` of the property table holds.
+    """
     best = F.broadcast(top_k(vectors, probe, k))
-    p = props.where((F.col("property_name") == name) & (numeric("value", coerce) > least)).select(F.col("property_id").alias("dst_id"), "property_name", "value", "unit")
+    number = numeric("value") if coerce else F.col("number")
+    p = props.where((F.col("property_name") == name) & (number > least)).select(F.col("property_id").alias("dst_id"), "property_name", "value", "unit")
     rows = best.join(exhibits, F.col("id") == F.col("src_id")).join(p, "dst_id")
     return rows.orderBy(F.desc("score"), "id", "dst_id").limit(limit).drop("src_id")
 
@@ -123,13 +135,13 @@ def search_with_property(vectors: DataFrame, probe: list[float], exhibits: DataF
 def search_with_profile(vectors: DataFrame, probe: list[float], exhibits: DataFrame, props: DataFrame, names: list[str], k: int = 10) -> DataFrame:
     """Top k materials with the largest value of each named property, as text (``max``) and as a number (``max_num``).
 
-    Each property is aggregated before it is joined, so several of them do not multiply rows.
+    Each property is aggregated before it is joined, so several of them do not multiply rows; the k winners are
+    found once and written.
     """
-    out = top_k(vectors, probe, k)
-    wanted = F.broadcast(out.select("id"))
+    out = best = materialize(top_k(vectors, probe, k), "winners")
     for n in names:
-        mine = exhibits.join(wanted, F.col("src_id") == F.col("id")).join(props.where(F.col("property_name") == n).withColumnRenamed("property_id", "dst_id"), "dst_id")
-        agg = mine.groupBy("id").agg(F.max("value").alias(f"{n}_max"), F.max(numeric("value", True)).alias(f"{n}_max_num"), F.max("unit").alias(f"{n}_unit"))
+        mine = exhibits.join(F.broadcast(best.select("id")), F.col("src_id") == F.col("id")).join(props.where(F.col("property_name") == n).withColumnRenamed("property_id", "dst_id"), "dst_id")
+        agg = mine.groupBy("id").agg(F.max("value").alias(f"{n}_max"), F.max(numeric("value")).alias(f"{n}_max_num"), F.max("unit").alias(f"{n}_unit"))
         out = out.join(agg, "id", "left")
     return out.orderBy(F.desc("score"), "id")
 
@@ -148,7 +160,7 @@ def profiles(graph: dict[str, DataFrame], names: tuple = KEY_PROPERTIES, most: i
     used = graph["USES_PRECURSOR"].select(F.col("src_id").alias("step"), F.col("dst_id").alias("name")).join(graph["precursor"], "name")
     precursors = of_step.join(used, "step").groupBy("mat").agg(F.array_sort(F.collect_set("original_name")).alias("precursors"))
     p = graph["property"].where(F.col("property_name").isin(*names)).withColumnRenamed("property_id", "dst_id")
-    p = graph["EXHIBITS_PROPERTY"].join(p, "dst_id").select(F.col("src_id").alias("mat"), "property_name", F.coalesce("original_value", "value").alias("v"), F.coalesce("original_unit", "unit").alias("u"), numeric("value", True).alias("num"))
+    p = graph["EXHIBITS_PROPERTY"].join(p, "dst_id").select(F.col("src_id").alias("mat"), "property_name", F.coalesce("original_value", "value").alias("v"), F.coalesce("original_unit", "unit").alias("u"), numeric("value").alias("num"))
     p = p.groupBy("mat", "property_name", "v", "u").agg(F.max("num").alias("num"))
     order = W.partitionBy("mat").orderBy(F.desc_nulls_last("num"), F.desc_nulls_last("v"), "property_name", "u")
     p = p.withColumn("r", F.row_number().over(order)).where(F.col("r") <= most)
@@ -162,7 +174,7 @@ def profiles(graph: dict[str, DataFrame], names: tuple = KEY_PROPERTIES, most: i
 
 
 def set_attribute(nodes: DataFrame, values: DataFrame, key: str, column: str) -> DataFrame:
-    """Set a column of the nodes that ``values (key, column)`` names; others keep theirs."""
-    v = values.select(F.col(key).alias("__k"), F.col(column).alias("__v"))
+    """Set a column of the nodes that ``values (key, column)`` names, to the largest value of a repeated key; others keep theirs."""
+    v = values.groupBy(F.col(key).alias("__k")).agg(F.max(column).alias("__v"))
     out = nodes if column in nodes.columns else nodes.withColumn(column, F.lit(None).cast(values.schema[column].dataType))
     return out.join(v, F.col(key) == F.col("__k"), "left").withColumn(column, F.coalesce("__v", column)).drop("__k", "__v")

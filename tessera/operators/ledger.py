@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.text import file_to_doi
+from tessera.functions.text import file_to_doi, strip
 
 PENDING, DONE, FAILED, DELAYED = 0, 1, 2, 3
 
@@ -61,7 +61,7 @@ def keep_first(rows: DataFrame, key: str, *order: str) -> DataFrame:
 
 def enrich(left: DataFrame, right: DataFrame, key: str, value: str, order: str) -> DataFrame:
     """Left join on lower-cased, stripped keys; null values are dropped first, of repeated keys the last counts."""
-    k = F.lower(F.trim(F.col(key)))
+    k = F.lower(strip(key))
     table = right.where(F.col(key).isNotNull() & F.col(value).isNotNull()).withColumn("__k", k)
     table = last_row(table, order, "__k").select("__k", F.col(value).alias("__v"))
     out = left.withColumn("__key", k).join(table, F.col("__key") == F.col("__k"), "left")
@@ -85,9 +85,10 @@ def authors(names: Column, most: int = 10) -> Column:
     return F.struct(F.array_join(F.slice(real, 1, most), "; ").alias("authors"), F.size(real).alias("author_count"))
 
 
-def abstract(described: Column, plain: Column) -> Column:
-    """The description, or the abstract where there is none."""
-    return F.coalesce(described, plain)
+def abstract(record: Column) -> Column:
+    """The description of a VARIANT record, or its abstract where it has no such field; a description of null is null."""
+    described = F.try_variant_get(record, "$['dc:description']", "variant")
+    return F.when(described.isNotNull(), F.try_variant_get(record, "$['dc:description']", "string")).otherwise(F.try_variant_get(record, "$.abstract", "string"))
 
 
 def reply_join(requested: DataFrame, replies: DataFrame) -> DataFrame:

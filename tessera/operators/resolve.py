@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from tessera.functions.text import clean_name, squeeze
 from tessera.operators.components import connected_components
+from tessera.operators.documents import chunks
 from tessera.session import materialize
 
 COSINE, NEIGHBOURS, FUZZY, FUZZY_V1 = 0.95, 50, 90.0, 85.0
@@ -55,27 +56,36 @@ def token_sort_ratio(a: Column | str, b: Column | str) -> Column:
 def fuzzy_pairs(names: DataFrame, name: str, least: float = FUZZY_V1) -> DataFrame:
     """Pairs ``a < b`` of distinct names of at least that similarity, each once, without comparing all with all.
 
-    A ratio of r needs ``2 * min(la, lb) >= r * (la + lb)`` and a common character count (as a multiset) of at
-    least ``r * (la + lb) / 2``.  With q-grams of q = 1 the texts' sorted characters, numbered from the rarest on,
-    must agree within a prefix; so names meet on the rarest characters of their prefix, and only there.
+    A ratio of r allows d = (la + lb) * (100 - r) / 100 insertions and deletions between the texts of sorted tokens.  If the
+    longer text is cut into d + 1 segments, one of them, the i-th, stands unchanged in the shorter one with at
+    most i edits before it and d - i after it, which bounds where it can stand.  So texts meet where lengths, segment
+    number and segment agree, and only such pairs are compared.  Names without characters are like no other.
     """
-    keyed = names.select(F.col(name).alias("name")).where("name is not null").distinct().withColumn("key", sorted_tokens("name"))
-    chars = F.filter(F.split("key", ""), lambda x: x != "")
-    # The n-th occurrence of a character is an element of its own: multisets become sets.
-    numbered = keyed.withColumn("n", F.length("key")).select("name", "key", "n", F.posexplode(chars).alias("pos", "ch"))
-    numbered = numbered.withColumn("nth", F.row_number().over(W.partitionBy("name", "ch").orderBy("pos")))
-    frequency = numbered.groupBy("ch", "nth").agg(F.count("*").alias("f"))
-    ranked = numbered.join(frequency, ["ch", "nth"]).withColumn("rank", F.row_number().over(W.partitionBy("name").orderBy("f", "ch", "nth")))
-    # Of n elements at least need = ceil(n * r / (200 - r)) are common, so one is among the first n - need + 1.
     r = float(least)
-    prefix = ranked.where(F.col("rank") <= F.col("n") - F.ceil(F.col("n") * r / (200.0 - r) - 1e-9) + 1)
-    left = prefix.select("ch", "nth", F.col("name").alias("a"), F.col("key").alias("ka"), F.col("n").alias("na"))
-    right = prefix.select("ch", "nth", F.col("name").alias("b"), F.col("key").alias("kb"), F.col("n").alias("nb"))
-    fits = 200.0 * F.least("na", "nb") >= r * (F.col("na") + F.col("nb"))
-    pairs = left.join(right, ["ch", "nth"]).where((F.col("a") < F.col("b")) & fits).select("a", "b", "ka", "kb").distinct()
-    scored = pairs.withColumn("ratio", _ratio("ka", "kb")).where(F.col("ratio") >= r).select("a", "b", "ratio")
-    # The empty name is like no other.
-    return scored
+    keyed = names.select(F.col(name).alias("name")).where("name is not null").distinct().withColumn("key", sorted_tokens("name"))
+    keyed = keyed.withColumn("n", F.length("key")).where("n > 0")
+    to_int = lambda c: c.cast("int")
+    cuts = {"d": to_int(F.floor((F.col("la") + F.col("lb")) * (100.0 - r) / 100.0 + 1e-9))}
+    size, extra = F.floor(F.col("la") / (F.col("d") + 1)), F.col("la") % (F.col("d") + 1)
+    segment = {"start": to_int(F.col("i") * size + F.greatest(F.lit(0), F.col("i") - (F.col("d") + 1 - extra))), "size": to_int(size + (F.col("i") >= F.col("d") + 1 - extra).cast("int"))}
+
+    def segments(rows: DataFrame) -> DataFrame:
+        return rows.withColumns(cuts).withColumn("i", F.explode(F.sequence(F.lit(0), "d"))).withColumns(segment)
+
+    shorter = F.explode(F.sequence(F.greatest(F.lit(1), to_int(F.ceil(F.col("la") * r / (200.0 - r) - 1e-9))), "la"))
+    longer = F.explode(F.sequence("lb", F.greatest("lb", to_int(F.floor(F.col("lb") * (200.0 - r) / r + 1e-9)))))
+    left = segments(keyed.select(F.col("name").alias("a"), F.col("key").alias("ka"), F.col("n").alias("la")).withColumn("lb", shorter))
+    left = left.select("la", "lb", "i", F.substring(F.col("ka"), F.col("start") + 1, F.col("size")).alias("segment"), "a", "ka")
+    right = segments(keyed.select(F.col("name").alias("b"), F.col("key").alias("kb"), F.col("n").alias("lb")).withColumn("la", longer))
+    shift, after = F.col("lb") - F.col("la"), F.col("d") - F.col("i")
+    low = F.greatest(F.lit(0), F.col("start") - F.col("i"), F.col("start") + shift - after)
+    high = F.least(F.col("lb") - F.col("size"), F.col("start") + F.col("i"), F.col("start") + shift + after)
+    right = right.withColumn("at", F.explode(F.when(low <= high, F.sequence(low, high))))
+    right = right.select("la", "lb", "i", F.substring(F.col("kb"), F.col("at") + 1, F.col("size")).alias("segment"), "b", "kb").distinct()
+    met = left.join(right, ["la", "lb", "i", "segment"]).where("a <> b")
+    swap = F.col("a") > F.col("b")
+    pairs = met.select(*[F.when(swap, F.col(y)).otherwise(F.col(x)).alias(x) for x, y in (("a", "b"), ("ka", "kb"))], *[F.when(swap, F.col(x)).otherwise(F.col(y)).alias(y) for x, y in (("a", "b"), ("ka", "kb"))]).distinct()
+    return pairs.withColumn("ratio", _ratio("ka", "kb")).where(F.col("ratio") >= r).select("a", "b", "ratio")
 
 
 def cluster_names(names: DataFrame, name: str, least: float = FUZZY_V1) -> DataFrame:
@@ -83,16 +93,11 @@ def cluster_names(names: DataFrame, name: str, least: float = FUZZY_V1) -> DataF
 
     Returns ``name, label``; names without a similar one are clusters of their own.
     """
-    distinct = names.select(F.col(name).alias("name")).where("name is not null").distinct()
-    numbered = materialize(distinct.withColumn("id", F.xxhash64("name")), "names")
-    pairs = fuzzy_pairs(distinct, "name", least)
-    edges = pairs.select(F.xxhash64("a").alias("src"), F.xxhash64("b").alias("dst"))
-    component = connected_components(edges)
-    tagged = numbered.join(component, "id", "left").withColumn("c", F.coalesce("component", "id"))
-    first = tagged.groupBy("c").agg(F.min("name").alias("first"))
-    # One row per cluster is numbered; the names themselves are not put in one task.
-    labels = first.withColumn("label", F.row_number().over(W.orderBy("first")) - 1)
-    return tagged.join(labels, "c").select("name", "label")
+    distinct = materialize(names.select(F.col(name).alias("name")).where("name is not null").distinct(), "names")
+    component = connected_components(fuzzy_pairs(distinct, "name", least), "a", "b").withColumnRenamed("id", "name")
+    tagged = distinct.join(component, "name", "left").withColumn("first", F.coalesce("component", "name"))
+    labels = chunks(tagged.select("first").distinct(), "first", 1).withColumnRenamed("batch", "label")
+    return tagged.join(labels, "first").select("name", "label")
 
 
 def clusters(labelled: DataFrame) -> DataFrame:
@@ -128,8 +133,8 @@ def hashed_vectors(rows: DataFrame, text: str, size: int = 384, grams: int = 3)
 
 #: Vectors of a block; a task multiplies two blocks, so its memory is fixed by this and the vectors' size.
 BLOCK = 2048
-#: Lists of the inverted file at most, and sampled vectors for each of them to fit the centroids on.
-LISTS, SAMPLE = 1024, 32
+#: Lists of the inverted file at most, as the driver fits them, and sampled vectors for each to fit the centroids on.
+LISTS, SAMPLE = 4096, 32
 
 
 def _centroids(rows: DataFrame, lists: int, n: int, rounds: int = 8) -> np.ndarray:
@@ -148,11 +153,13 @@ def _centroids(rows: DataFrame, lists: int, n: int, rounds: int = 8) -> np.ndarr
     return c
 
 
-def similar_pairs(vectors: DataFrame, least: float = COSINE, k: int = NEIGHBOURS, id_col: str = "id", vector: str = "embedding", lists: int | None = None, probes: int = 10) -> DataFrame:
+def similar_pairs(vectors: DataFrame, least: float = COSINE, k: int = NEIGHBOURS, id_col: str = "id", vector: str = "embedding", lists: int | None = None, probes: int | None = None) -> DataFrame:
     """Edges ``a < b, score`` of unit vectors: either end lists the other among its k nearest (itself counted), score >= least.
 
-    Vectors are filed under the nearest of ``lists`` centroids, and each looks into its ``probes`` nearest lists;
-    one list (the default up to 1000 vectors) is exact, otherwise ``4 * sqrt(n)`` lists are made.  Lists are cut
+    Vectors are filed under the nearest of ``lists`` centroids (one up to 1000 vectors, else ``4 * sqrt(n)``, at most ``LISTS``).  Each
+    looks into every list that can hold a vector within the angle of ``least``: angles obey the triangle inequality, so
+    a list is out when its centroid is farther than that angle and the list's own widest.  The result is exact for any
+    number of lists; with ``probes`` each looks into that many nearest lists alone, which may miss pairs.  Lists are cut
     into blocks, and a task multiplies one block of seekers with one of members and emits only what it found, so
     neither a crowded list nor a crowd of equal vectors lands in one task or makes a row per pair.
     """
@@ -161,14 +168,34 @@ def similar_pairs(vectors: DataFrame, least: float = COSINE, k: int = NEIGHBOURS
     if lists is None:
         lists = 1 if n <= 1000 else min(LISTS, int(4 * np.sqrt(n)))
     if lists > 1:
-        shared = rows.sparkSession.sparkContext.broadcast(_centroids(rows, lists, n))
+        spark = rows.sparkSession
+        shared = spark.sparkContext.broadcast(_centroids(rows, lists, n))
+
+        def angles(part: pd.DataFrame) -> np.ndarray:
+            v = np.stack(part["v"].map(np.asarray)) if len(part) else np.zeros((0, shared.value.shape[1]))
+            v = v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
+            c = shared.value / np.maximum(np.linalg.norm(shared.value, axis=1, keepdims=True), 1e-12)
+            return np.arccos(np.clip(v @ c.T, -1, 1))
+
+        def nearest(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for part in parts:
+                far = angles(part)
+                yield pd.DataFrame({"list": far.argmin(axis=1).astype("int32"), "angle": far.min(axis=1)})
+
+        widest = rows.mapInPandas(nearest, "list int, angle double").groupBy("list").agg(F.max("angle").alias("angle")).collect()
+        reach = np.full(len(shared.value), -np.inf)
+        for r in widest:
+            reach[r["list"]] = r["angle"] + np.arccos(np.clip(least, -1, 1)) + 1e-6
 
         def file(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            c = shared.value
             for part in parts:
-                s = np.stack(part["v"].map(np.asarray)) @ c.T if len(part) else np.zeros((0, len(c)))
-                best = np.argsort(-s, axis=1, kind="stable")[:, : min(probes, len(c))]
-                yield part.assign(lists=[[int(j) for j in b] for b in best])
+                far = angles(part)
+                order = np.argsort(far, axis=1, kind="stable")
+                if probes is None:  # its own list first, which files it
+                    chosen = [[int(o[0]), *(int(j) for j in o[1:] if f[j] <= reach[j])] for o, f in zip(order, far, strict=True)]
+                else:
+                    chosen = [[int(j) for j in o[:probes]] for o in order]
+                yield part.assign(lists=chosen)
 
         filed = rows.mapInPandas(file, T.StructType([*rows.schema.fields, T.StructField("lists", T.ArrayType(T.IntegerType()))]))
         filed = materialize(filed, "filed")
@@ -206,10 +233,17 @@ def similar_pairs(vectors: DataFrame, least: float = COSINE, k: int = NEIGHBOURS
 # ---- edge filters -----------------------------------------------------------
 
 
+# The patterns of concentrations, product codes, dopants and prefixes.
+_CONCENTRATION = r"(?iU)(\d+\.?\d*)\s*(?:M|mol/L)"
+_CODE = r"(?U)\b[A-Z0-9]{4,}\b"
+_DOPANT = r"([A-Za-z]+)-(?:co)?doped"
+_PREFIX = r"(?iU)^(binder\s*[-:]\s*|conductive\s*additive\s*[-:]\s*|electrolyte\s*[-:]\s*)"
+
+
 def concentration(name: Column | str) -> Column:
     """The first number before M or mol/L, in any case and without a word end (so ``10 mg`` counts)."""
     text = F.col(name) if isinstance(name, str) else name
-    return F.regexp_extract(text, r"(?iU)(\d+\.?\d*)\s*(?:M|mol/L)", 1).try_cast("double")
+    return F.regexp_extract(text, _CONCENTRATION, 1).try_cast("double")
 
 
 def bare_formula(formula: Column | str) -> Column:
@@ -221,13 +255,13 @@ def product_codes(name: Column | str, case_preserving: bool = False) -> Column:
     """Sorted distinct tokens of four or more capitals and digits; on lower-cased names those are digits alone."""
     text = F.col(name) if isinstance(name, str) else name
     text = text if case_preserving else F.lower(text)
-    return F.array_sort(F.array_distinct(F.regexp_extract_all(text, F.lit(r"(?U)\b[A-Z0-9]{4,}\b"), F.lit(0))))
+    return F.array_sort(F.array_distinct(F.regexp_extract_all(text, F.lit(_CODE), F.lit(0))))
 
 
 def dopants(name: Column | str) -> Column:
     """Sorted distinct dopants of ``X-doped`` and ``X-codoped``; null where there are none."""
     text = F.col(name) if isinstance(name, str) else name
-    found = F.array_sort(F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(r"([A-Za-z]+)-(?:co)?doped"), F.lit(1)), F.lower)))
+    found = F.array_sort(F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(_DOPANT), F.lit(1)), F.lower)))
     return F.when(F.size(found) > 0, found)
 
 
@@ -264,7 +298,7 @@ def filter_edges(edges: DataFrame, records: DataFrame, name: str = "cleaned_name
 
 def clean_canonical(name: Column | str) -> Column:
     text = F.col(name) if isinstance(name, str) else name
-    return F.trim(F.regexp_replace(text, r"(?iU)^(binder\s*[-:]\s*|conductive\s*additive\s*[-:]\s*|electrolyte\s*[-:]\s*)", ""))
+    return F.trim(F.regexp_replace(text, _PREFIX, ""))
 
 
 def pick_canonical(members: DataFrame, component: str = "component", name: str = "cleaned_name", case_preserving: bool = False) -> DataFrame:
@@ -288,7 +322,7 @@ def resolve_names(records: DataFrame, vectorise: Callable[[DataFrame, str], Data
     cleaned = materialize(records.withColumn("cleaned_name", clean_name("raw_name")), "cleaned")
     order = F.struct("doi", "material_index")
     unique = cleaned.where("cleaned_name is not null").groupBy("cleaned_name").agg(F.min_by("formula", order).alias("formula"), F.min_by("role", order).alias("role"))
-    unique = materialize(unique.withColumn("id", F.xxhash64("cleaned_name")), "unique")
+    unique = materialize(unique.withColumn("id", F.col("cleaned_name")), "unique")
     vectors = materialize(vectorise(unique.select("id", "cleaned_name"), "cleaned_name"), "vectors")
     edges = filter_edges(similar_pairs(vectors, least, k), unique, fuzzy=fuzzy, case_preserving=case_preserving)
     component = connected_components(edges, "a", "b")

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tessera.schemas import LEDGER
+from tessera.session import materialize
 
 
 def read_ledger(spark: SparkSession, path: str, schema: str = LEDGER) -> DataFrame:
@@ -19,11 +21,15 @@ def write_csv(df: DataFrame, path: str) -> None:
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """``file, line, value``: lines of text files, numbered from 1 within each file.
 
-    The whole-file offset of a line is the sum over the splits before it; files are numbered apart, so
-    each file is read as one unsplit text and cut into its lines.
+    Files are read in splits; a line's number is its place in the split and the sum of the file's splits before it.
     """
-    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.regexp_replace("value", r"\r?\n$", "").alias("value"))
-    return whole.select("file", F.posexplode(F.split("value", r"\r?\n")).alias("pos", "value")).select("file", (F.col("pos") + 1).alias("line"), "value")
+    rows = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), "value")
+    rows = materialize(rows, "lines")
+    counts = rows.groupBy("file", "block").agg(F.count("*").alias("n"), F.min("at").alias("first"))
+    before = F.coalesce(F.sum("n").over(W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    counts = materialize(counts.select("file", "block", "first", before.alias("before")), "splits")
+    # Ids run on within a task, so those of a split are consecutive.
+    return rows.join(counts, ["file", "block"]).select("file", (F.col("before") + F.col("at") - F.col("first") + 1).cast("int").alias("line"), "value")
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:

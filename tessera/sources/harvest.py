@@ -129,12 +129,13 @@ def with_retries(call: Callable[[], object], attempts: int = 3, sleep: Callable[
 def fetch_all(keys: DataFrame, fetch: Callable[[str], str], key: str = "doi", rate: int = 8, tasks: int = 1, attempts: int = 3, sleep: Callable[[float], None] = time.sleep) -> DataFrame:
     """``key, body, status, error`` of one fetch per key: 1 fetched, 2 failed, 3 throttled or timed out.
 
-    ``tasks`` tasks share the rate; each keeps its own sliding window.
+    ``tasks`` tasks share the rate: each keeps its own sliding window, longer than a second where there are more tasks than calls.
     """
     share = max(1, rate // tasks)
+    window = share * tasks / rate
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        limiter = SlidingWindowLimiter(share)
+        limiter = SlidingWindowLimiter(share, window)
         for part in parts:
             out = []
             for k in part[key]:

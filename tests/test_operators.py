@@ -2,6 +2,7 @@ import itertools
 import json
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -74,6 +75,22 @@ def test_fuzzy_pairs_match_all_pairs(spark):
     assert got == want and want
 
 
+def test_fuzzy_pairs_compare_few(spark):
+    rng = random.Random(31)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    names = [" ".join("".join(rng.choice(letters) for _ in range(rng.randrange(4, 9))) for _ in range(3)) for _ in range(400)]
+    names += [n[:-1] for n in names[:40]] + [" ".join(reversed(n.split())) for n in names[:20]] + ["", " ", "a", "ab"]
+    compared = []
+    real = R._ratio
+    R._ratio = lambda a, b: compared.append(1) or real(a, b)
+    try:
+        got = R.fuzzy_pairs(spark.createDataFrame([(n,) for n in names], "n string"), "n", 85.0)
+    finally:
+        R._ratio = real
+    want = {(a, b) for a in set(names) for b in set(names) if a < b and a.strip() and R.indel_ratio(" ".join(sorted(a.split())), " ".join(sorted(b.split()))) >= 85.0}
+    assert {(r["a"], r["b"]) for r in got.collect()} == want and len(want) > 50
+
+
 def test_cluster_labels(spark):
     df = spark.createDataFrame([("nickel oxide",), ("oxide nickel",), ("zinc",), (None,), ("zinc",)], "n string")
     got = {r["name"]: r["label"] for r in R.cluster_names(df, "n").collect()}
@@ -101,6 +118,20 @@ def test_similar_pairs_match_all_pairs(spark):
     assert len(some & want) >= 0.9 * len(want)
 
 
+def test_similar_pairs_by_lists_are_exact(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(500, 12))
+    x = np.concatenate([x, x[:200] + rng.normal(scale=0.15, size=(200, 12))])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id int, embedding array<double>")
+    s = x @ x.T
+    want = {(i, j) for i in range(len(x)) for j in range(i + 1, len(x)) if s[i, j] >= 0.9}
+    got = {(r["a"], r["b"]) for r in R.similar_pairs(df, 0.9, 1000, lists=40).collect()}
+    assert got == want and len(want) > 100
+    few = {(r["a"], r["b"]) for r in R.similar_pairs(df, 0.9, 1000, lists=40, probes=10).collect()}
+    assert few <= want and len(few) >= 0.9 * len(want)
+
+
 def test_edge_features(spark):
     rows = [(1, "10 mg x"), (2, "la,sr-codoped"), (3, "n, s co-doped"), (4, "code AB12 1234"), (5, "0.5 mol/l z")]
     got = {r["id"]: r for r in R.features(spark.createDataFrame(rows, "id int, cleaned_name string").withColumns({"formula": F.lit(" Fe O "), "role": F.lit("")})).collect()}
@@ -212,6 +243,29 @@ def test_walks(docs):
     assert {r["path"] for r in D.value_objects(docs).collect()} >= {"$.materials[0].synthesis_route[0].parameters[0]"}
 
 
+def test_documents_are_converted_in_place(spark):
+    entries = spark.createDataFrame(MAP, UNIT_CONVERSION)
+    doc = {"m": [{"value": 10, "unit": " mA ", "note": "é"}, {"value": {"value": "1", "unit": "C"}, "unit": "C"}, {"unit": "zz", "value": "n/a"}, {"value": 1, "unit": None}], "k": [1, "x"]}
+    plain = '{"a":  1}'
+    df = spark.createDataFrame([("f", json.dumps(doc)), ("g", plain), ("h", "{"), ("i", None)], "file_path string, text string")
+    out, rows = D.convert_documents(df, entries)
+    got = {r["file_path"]: r["text"] for r in out.collect()}
+    assert got["g"] == plain and got["h"] == "{" and got["i"] is None
+    m = json.loads(got["f"])["m"]
+    assert m[0] == {"value": 5.0, "unit": "A", "note": "é", "original_unit": "mA", "original_value": 10}
+    assert m[1]["unit"] == "K" and m[1]["original_value"] == {"value": "1", "unit": "C"} and m[1]["value"] == {"value": 274.15, "unit": "K", "original_unit": "C", "original_value": "1"}
+    assert m[2] == {"unit": "zz", "value": "n/a", "original_unit": "zz", "original_value": "n/a"} and m[3] == {"value": 1, "unit": None}
+    assert json.loads(got["f"])["k"] == [1, "x"] and U.unit_statistics(rows).first()["visited"] == 5
+
+
+def test_properties_are_renamed_in_place(spark):
+    mapping = spark.createDataFrame([(0, "Cs ", "capacitance"), (1, "none", None)], "pos int, property string, normalized string")
+    doc = {"materials": [{"performance_and_properties": [{"property_name": " Cs"}, {"property_name": "none"}, {"property_name": ""}, {"property_name": "other"}]}]}
+    out, _ = D.rename_documents(spark.createDataFrame([("f", json.dumps(doc))], "file_path string, text string"), mapping)
+    got = json.loads(out.first()["text"])["materials"][0]["performance_and_properties"]
+    assert got == [{"property_name": "capacitance", "original_property_name": "Cs"}, {"property_name": "none", "original_property_name": "none"}, {"property_name": ""}, {"property_name": "other", "original_property_name": "other"}]
+
+
 def test_normalize_json(spark):
     df = spark.createDataFrame([('{"a²": "x–y", "a2": [" b  c "]}',), ("{",), (None,)], "text string")
     assert [r[0] for r in D.normalize_json(df).collect()] == ['{"a2": ["b c"]}', None, None]
@@ -259,6 +313,21 @@ def test_property_search(spark):
     assert [(r["id"], r["cap_max"], r["cap_max_num"]) for r in prof] == [("m1", "5", 5.0), ("m2", "300", 1000.0), ("m3", None, None)]
 
 
+def test_raw_predicate_takes_numbers_alone(spark):
+    v = spark.createDataFrame([("m", [1.0])], "id string, embedding array<double>")
+    ex = spark.createDataFrame([("m", f"p{i}") for i in range(5)], "src_id string, dst_id string")
+    leaves = spark.createDataFrame([("p0", "400000"), ("p1", '"400000"'), ("p2", '"100F"'), ("p3", "4e5"), ("p4", '{"min": 1}')], "property_id string, j string")
+    pr = leaves.withColumn("v", F.try_parse_json("j")).select("property_id", F.lit("cap").alias("property_name"), D.variant_text("v").alias("value"), F.lit("F").alias("unit"), G.variant_number("v").alias("number"))
+    found = lambda coerce: sorted(r["dst_id"] for r in G.search_with_property(v, [1.0], ex, pr, "cap", 300000, coerce=coerce).collect())
+    assert found(False) == ["p0", "p3"] and found(True) == ["p0", "p1", "p3"]
+
+
+def test_attributes_of_repeated_keys_do_not_multiply_nodes(spark):
+    nodes = spark.createDataFrame([("a", "old"), ("b", "old"), (None, "old")], "k string, d string")
+    values = spark.createDataFrame([("a", "x"), ("a", "y"), ("c", "z"), (None, "n")], "k string, d string")
+    assert sorted((r["k"] or "", r["d"]) for r in G.set_attribute(nodes, values, "k", "d").collect()) == [("", "old"), ("a", "y"), ("b", "old")]
+
+
 def test_jsonl_rules(spark):
     lines = spark.createDataFrame([(1, "{"), (2, "{}"), (3, '{"recordId":1,"modelInput":{"messages":[]}}'), (4, '{"modelInput":{}}'), (5, "")], "line int, value string")
     got = sorted((r["line"], r["error"]) for r in D.validate_lines(lines).collect())

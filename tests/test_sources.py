@@ -32,6 +32,34 @@ def test_flat_paragraphs_and_default_columns():
     assert len(got["tables"][0]["headers"]) == 20 and got["tables"][0]["rows"][0][0] == "v" and got["title"] is None
 
 
+def test_rectangles_of_tables():
+    def table(head="", rows="", n=3):
+        spec = "".join(f'<colspec colname="c{i}"/>' for i in range(n))
+        return xml_docs.parse(f"<f><coredata/><table>{spec}<thead>{head}</thead><tbody>{rows}</tbody></table></f>")["tables"][0]
+
+    t = table('<row><entry morerows="2">A</entry><entry namest="c1" nameend="c2">B</entry></row><row><entry>x</entry><entry>y</entry></row><row><entry>x</entry><entry colname="c2">z</entry><entry>over</entry></row>')
+    assert t["headers"] == ["A", "B - x", "B - y - z"]
+    t = table('<row><entry namest="q">A</entry><entry nameend="c1" colname="c1">B</entry></row>')
+    assert t["headers"] == ["A", "B", ""]
+    t = table("", '<row><entry morerows="2">a</entry><entry/><entry>c</entry><entry>lost</entry></row><row><entry>d</entry></row><row><entry colname="c0">own</entry><entry morerows="9">e</entry></row><row><entry>f</entry></row>')
+    assert t["rows"] == [["a", "", "c"], ["a", "d", None], ["own", "e", None], ["f", "e", None]]
+
+
+def test_line_numbers_run_over_splits(spark, tmp_path):
+    texts = {"a": "".join(f"line {i} {'x' * (i % 50)}\n" for i in range(2000)), "b": "one\r\n\r\nthree", "c": ""}
+    for name, t in texts.items():
+        (tmp_path / name).write_bytes(t.encode())
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        got = files.read_lines(spark, f"file://{tmp_path}").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    for name, t in texts.items():
+        mine = sorted((r["line"], r["value"]) for r in got if r["file"].endswith(f"/{name}"))
+        assert mine == list(enumerate(t.splitlines(), 1))
+
+
 def test_math_with_three_children():
     from xml.etree import ElementTree as ET
 
