@@ -95,15 +95,32 @@ def similarity_edges_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- names ----------------------------------------------------------------------
 
+#: Longest common subsequences of all pairs, character by character: a row of the table is the running maximum of what its cells may be.
+_FUZZY_SQL = """
+n as (select distinct p_name as name, array_to_string(list_sort(string_split(p_name, ' ')), ' ') as key from part),
+l as (
+  select a.name as a, b.name as b, a.key as x, b.key as y, 0 as i, list_transform(range(len(b.key) + 1), lambda k: 0) as row from n a join n b on a.name < b.name
+  union all
+  select a, b, x, y, i + 1, list_concat([0], list_transform(range(1, len(y) + 1), lambda j: list_max(list_transform(range(1, j + 1), lambda k: case when y[k] = x[i + 1] then row[k] + 1 else row[k + 1] end))))
+  from l where i < len(x)),
+f as (select a, b, 200.0::double * row[len(y) + 1] / (len(x) + len(y)) as ratio from l where i = len(x))
+"""
+
 
-@query()
+@query(f"with recursive {_FUZZY_SQL} select a, b, round(ratio, 6) as ratio from f where ratio >= 75")
 def fuzzy_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.operators import resolve
 
     return resolve.fuzzy_pairs(table(spark, sf_dir, "part"), "p_name", 75.0).withColumn("ratio", F.round("ratio", 6))
 
 
-@query()
+@query(f"""
+with recursive {_FUZZY_SQL},
+e as (select a as x, b as y from f where ratio >= 75 union select b, a from f where ratio >= 75 union select name, name from n),
+r as (select name as x, name as root from n union select e.y, r.root from r join e on e.x = r.x),
+c as (select x as name, min(root) as root from r group by 1)
+select name, dense_rank() over (order by root) - 1 as label from c
+""")
 def name_clusters_dbscan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.operators import resolve
 
@@ -554,3 +571,179 @@ def hybrid_property_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     props = line.select(pid.alias("property_id"), F.col("l_returnflag").alias("property_name"), F.col("l_extendedprice").cast("string").alias("value"), F.lit("x").alias("unit"))
     found = search_with_property(emb.select(F.col("vec_id").alias("id"), "embedding"), probe_vector(emb, "vec_id", 0), line.select(F.col("l_partkey").alias("src_id"), pid.alias("dst_id")), props, "R", 20000, 20, 10)
     return found.select(F.col("id").alias("vec_id"), F.round("score", 6).alias("score"), "value")
+
+
+# The filler words and electrolyte patterns in the SQL above equal those of ``functions.text``.
+
+# ---- whole documents ----------------------------------------------------------------
+
+
+@query(f"""
+with {_UNITS_SQL}
+select event_id, round(case when status = 'normalized' then case when op = 'add' then v::double + amount else v::double * amount end else try_cast(v as double) end, 6) as number,
+  case when status in ('missing_unit', 'unmatched') then trim(u) when lower(trim(si_unit)) in ('', 'unable to convert') then trim(u) when lower(trim(si_unit)) = 'dimensionless' then '1' else trim(si_unit) end as unit,
+  round(case when status <> 'missing_unit' then try_cast(v as double) end, 6) as original_number, case when status <> 'missing_unit' then trim(u) end as original_unit from n
+""")
+def documents_converted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON documents whose values and units are converted where they stand, read back from the new texts."""
+    from tessera.operators.documents import convert_documents
+
+    leaf = F.when(F.col("value").try_cast("double").isNull(), F.concat(F.lit('"'), "value", F.lit('"'))).otherwise(F.col("value"))
+    unit = F.when(F.col("unit").isNull(), "null").otherwise(F.concat(F.lit('"'), "unit", F.lit('"')))
+    docs = _measured(spark, sf_dir).select(F.col("event_id").cast("string").alias("file_path"), F.concat(F.lit('{"a": [{"b": {"unit": '), unit, F.lit(', "value": '), leaf, F.lit("}}]}")).alias("text"))
+    done, _ = convert_documents(docs, _map(spark))
+    get = lambda name: F.get_json_object("text", f"$.a[0].b.{name}")
+    number = lambda name: F.round(get(name).try_cast("double"), 6)
+    return done.select(F.col("file_path").cast("bigint").alias("event_id"), number("value").alias("number"), get("unit").alias("unit"), number("original_value").alias("original_number"), get("original_unit").alias("original_unit"))
+
+
+def _extracted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as extracted documents: line items are materials with a property, a condition and one or two synthesis steps."""
+    from tessera.operators.documents import extraction
+
+    line = table(spark, sf_dir, "lineitem")
+    step = F.concat(F.lit('{"method": "m'), F.col("l_suppkey") % 5, F.lit('", "precursors": ["KOH (base)", "P'), F.col("l_suppkey"), F.lit('"], "parameters": []}'))
+    route = F.when(F.col("l_linenumber") % 2 == 0, F.concat(F.lit("["), step, F.lit(", "), step, F.lit("]"))).otherwise(step)
+    value = F.when(F.col("l_returnflag") == "R", F.concat(F.lit('"'), F.col("l_quantity").cast("int"), F.lit('"'))).otherwise(F.col("l_quantity").cast("int").cast("string"))
+    name = F.when(F.col("l_linestatus") == "F", "electrolyte").otherwise("scan rate")
+    text = F.concat(
+        F.lit('{"name": "part '), F.col("l_partkey"), F.lit('", "role": "'), F.col("l_returnflag"), F.lit('", "synthesis_route": '), route,
+        F.lit(', "performance_and_properties": [{"property_name": "quantity", "value": '), value, F.lit(', "unit": "pcs", "test_conditions": [{"condition_name": "'), name, F.lit('", "value": "'), F.col("l_linenumber"), F.lit(' M KOH in water"}]}]}'),
+    )
+    order = F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", text.alias("text"))))
+    docs = line.groupBy("l_orderkey").agg(F.array_join(F.transform(order, lambda x: x["text"]), ", ").alias("mats"))
+    key = F.col("l_orderkey").cast("string")
+    docs = docs.select(F.concat(F.lit("/x/"), key, F.lit(".json")).alias("file_path"), F.concat(F.lit('{"metadata": {"doi": "'), key, F.lit('", "title": "T"}, "materials": ['), "mats", F.lit("]}")).alias("text"))
+    return extraction(docs)
+
+
+_EXTRACTED_SQL = "m as (select *, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey) - 1 as i from lineitem)"
+
+
+@query(f"""with {_EXTRACTED_SQL}
+select l_orderkey::varchar as doi, i::int as material_index, 'part ' || l_partkey as raw_name, l_returnflag as role from m""")
+def name_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.operators import documents
+
+    return documents.name_records(_extracted(spark, sf_dir)).select("doi", "material_index", "raw_name", "role")
+
+
+@query(f"""with {_EXTRACTED_SQL}
+select l_orderkey::varchar as doi, i::int as material_index, 'quantity' as property_name, l_quantity::int::varchar as value_text, case when l_returnflag <> 'R' then l_quantity::int::double end as number from m""")
+def nested_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values as text, and as numbers only where they are numbers."""
+    from tessera.operators import documents
+    from tessera.operators.graph import variant_number
+
+    return documents.properties(_extracted(spark, sf_dir)).select("doi", "material_index", "property_name", "value_text", variant_number("value").alias("number"))
+
+
+@query(f"""with {_EXTRACTED_SQL}
+select l_orderkey::varchar as doi, i::int as material_index, s::int as step_order, 'm' || (l_suppkey % 5) as method, 2 as n_precursors
+from (select *, unnest(range(1, case when l_linenumber % 2 = 0 then 3 else 2 end)) as s from m)""")
+def nested_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Synthesis routes that are one object or a list of them."""
+    from tessera.operators import documents
+
+    return documents.steps(_extracted(spark, sf_dir)).select("doi", "material_index", "step_order", "method", F.size("precursors").alias("n_precursors"))
+
+
+@query(f"""with {_EXTRACTED_SQL},
+e as (select distinct l_linenumber from m where l_linestatus = 'F'), two as (select *, case when l_linenumber % 2 = 0 then 2 else 1 end as k from m)
+select 'paper_source' as label, count(distinct l_orderkey) as n from m
+union all select 'material', (select count(*) from m) + (select count(*) from e)
+union all select 'synthesis_step', sum(k)::bigint from two
+union all select 'synthesis_method', count(distinct l_suppkey % 5) from m
+union all select 'precursor', count(distinct l_suppkey) + 1 from m
+union all select 'property', count(*) from m
+union all select 'test_condition', count(*) from m where l_linestatus <> 'F'
+union all select 'PRODUCED_BY', sum(k)::bigint from two
+union all select 'NEXT_STEP', sum(k - 1)::bigint from two
+union all select 'USES_METHOD', sum(k)::bigint from two
+union all select 'USES_PRECURSOR', 2 * sum(k)::bigint from two
+union all select 'EXHIBITS_PROPERTY', count(*) from m
+union all select 'MEASURED_UNDER', count(*) from m where l_linestatus <> 'F'
+union all select 'USING_ELECTROLYTE', count(*) from m where l_linestatus = 'F'""")
+def graph_built(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many nodes and edges of each kind the graph of all documents has."""
+    from tessera.operators.graph import build_graph
+    from tessera.session import materialize
+
+    graph = build_graph(materialize(_extracted(spark, sf_dir), "extracted"))
+    left_out = ("morphology", "parameter", "HAS_MORPHOLOGY", "HAS_PARAMETER", "REPORTED_IN")
+    counts = [df.agg(F.lit(k).alias("label"), F.count("*").alias("n")) for k, df in graph.items() if k not in left_out]
+    out = counts[0]
+    for c in counts[1:]:
+        out = out.union(c)
+    return out
+
+
+@query("""
+with p as (select embedding::DOUBLE[] q from embeddings where vec_id = 0),
+top as (select vec_id, list_cosine_similarity(embedding::DOUBLE[], q) score from embeddings, p order by score desc, vec_id limit 20)
+select vec_id, round(score, 6) as score, l_quantity::int::varchar as value from top join lineitem on l_partkey = vec_id where l_returnflag <> 'R' and l_quantity > 45
+order by top.score desc, vec_id, l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey limit 10
+""")
+def hybrid_raw_predicate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top 20, then properties whose value is a number above a bound; texts that spell one (flag R) do not count."""
+    from tessera.operators.documents import variant_text
+    from tessera.operators.graph import search_with_property, variant_number
+    from tessera.operators.vector import probe_vector
+
+    emb, line = table(spark, sf_dir, "embeddings"), table(spark, sf_dir, "lineitem")
+    digits = F.col("l_quantity").cast("int").cast("string")
+    leaf = F.try_parse_json(F.when(F.col("l_returnflag") == "R", F.concat(F.lit('"'), digits, F.lit('"'))).otherwise(digits))
+    pid = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    props = line.select(pid.alias("property_id"), F.lit("q").alias("property_name"), variant_text(leaf).alias("value"), F.lit("x").alias("unit"), variant_number(leaf).alias("number"))
+    found = search_with_property(emb.select(F.col("vec_id").alias("id"), "embedding"), probe_vector(emb, "vec_id", 0), line.select(F.col("l_partkey").alias("src_id"), pid.alias("dst_id")), props, "q", 45, 20, 10, coerce=False)
+    return found.select(F.col("id").alias("vec_id"), F.round("score", 6).alias("score"), "value")
+
+
+@query("""
+with e as (select vec_id, embedding::DOUBLE[] v from embeddings),
+s as (select a.vec_id a, b.vec_id b, list_dot_product(a.v, b.v) score from e a join e b on a.vec_id <> b.vec_id where list_dot_product(a.v, b.v) >= 0.4),
+r as (select *, row_number() over (partition by a order by score desc, b) r from s)
+select distinct least(a, b) as a, greatest(a, b) as b, round(score, 6) as score from r where r <= 4
+""")
+def similarity_edges_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same edges by an inverted file of 16 lists, exact by the triangle inequality."""
+    from tessera.operators.resolve import similar_pairs
+
+    found = similar_pairs(table(spark, sf_dir, "embeddings"), 0.4, 5, "vec_id", lists=16)
+    return found.select("a", "b", F.round("score", 6).alias("score"))
+
+
+@query("""
+with w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), '<>&', '   '), '[A-Za-z]+') as w from documents),
+f as (select doc_id, w[1:5] as h, w[6:10] as b from w where len(w) >= 10)
+select doc_id::varchar as doi, h[1] as title, array_to_string(h, ' ') || '_2' as paragraph, case when b[1] = b[2] then b[1] else b[1] || ' - ' || b[2] end as header, b[4] as carried from f
+""")
+def xml_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents written as publisher XML and parsed: a title, a paragraph of mixed content, merged headers and a cell carried down."""
+    from tessera.sources.xml_docs import accepted, parse_papers
+
+    words = F.regexp_extract_all(F.translate(F.coalesce("text", F.lit("")), "<>&", "   "), F.lit("[A-Za-z]+"), F.lit(0))
+    rows = table(spark, sf_dir, "documents").select("doc_id", words.alias("w")).where(F.size("w") >= 10)
+    w = lambda i: F.col("w")[i]
+    xml = F.concat(
+        F.lit("<f xmlns:ce='c'><coredata><title> "), w(0), F.lit(" </title><doi>"), F.col("doc_id").cast("string"), F.lit("</doi></coredata><doc><ce:sections><ce:section><ce:para>"),
+        F.array_join(F.slice("w", 1, 3), " "), F.lit(" <b> "), w(3), F.lit(" </b> "), w(4), F.lit("<ce:inf>2</ce:inf></ce:para></ce:section></ce:sections></doc><ce:table><colspec colname='a'/><colspec colname='b'/><thead><row><entry namest='a' nameend='b'>"),
+        w(5), F.lit("</entry></row><row><entry>"), w(6), F.lit("</entry><entry>"), w(7), F.lit("</entry></row></thead><tbody><row><entry morerows='1'>"), w(8), F.lit("</entry></row><row><entry>x</entry></row></tbody></ce:table></f>"),
+    )
+    papers = accepted(parse_papers(rows.select(xml.alias("text"))))
+    tables = F.col("tables")[0]
+    return papers.select("doi", "title", F.col("sections")[0]["paragraphs"][0].alias("paragraph"), tables["headers"][0].alias("header"), tables["rows"][1][0].alias("carried"))
+
+
+@query("""
+with v as (select p_partkey as k, max(p_size) as size from part group by 1), n as (select distinct l_partkey as k from lineitem)
+select n.k as part, coalesce(v.size, -1) as size from n left join v on v.k = n.k and v.size % 2 = 0
+""")
+def attribute_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column set on the nodes that a table names, repeated keys and missing ones included."""
+    from tessera.operators.graph import set_attribute
+
+    nodes = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("part")).distinct().withColumn("size", F.lit(-1))
+    part = table(spark, sf_dir, "part")
+    best = part.groupBy(F.col("p_partkey").alias("part")).agg(F.max("p_size").alias("size")).where("size % 2 = 0")
+    return set_attribute(nodes, best.union(best), "part", "size")
