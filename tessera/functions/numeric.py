@@ -55,28 +55,28 @@ def resolve_si_unit(si_unit: Column, original: Column) -> Column:
 STATUSES = ("missing_unit", "unmatched", "missing_factor", "non_numeric", "normalized")
 
 
-def conversion(value: Column, unit: Column, matched: Column, si_unit: Column, op: Column) -> Column:
-    """struct(status, value, unit, original_value, original_unit) of one value.
-
-    ``value`` is text (a number or not), ``op`` a ``factor_operation``.  A matched unit is rewritten even
-    where the value stays; the originals are kept wherever there is a unit.
-    """
-    bare = strip(unit)
-    blank = bare.isNull() | (bare == "")
-    number = safe_float(value)
-    numeric = number.isNotNull()
-    status = (
-        F.when(blank, "missing_unit")
+def conversion_status(unit: Column, matched: Column, op: Column, number: Column) -> Column:
+    """What becomes of a value: ``unit`` is stripped, ``number`` the value's ``safe_float``."""
+    return (
+        F.when(unit.isNull() | (unit == ""), "missing_unit")
         .when(~F.coalesce(matched, F.lit(False)), "unmatched")
         .when(op.isNull(), "missing_factor")
-        .when(~numeric, "non_numeric")
+        .when(number.isNull(), "non_numeric")
         .otherwise("normalized")
     )
+
+
+def conversion(value: Column, unit: Column, bare: Column, si_unit: Column, op: Column, number: Column, status: Column) -> Column:
+    """struct(value, unit, original_value, original_unit) of one value.
+
+    ``value`` is text (a number or not), ``bare`` the stripped unit, ``op`` a ``factor_operation``.  A matched unit is rewritten
+    even where the value stays; the originals are kept wherever there is a unit.
+    """
     changed = F.when(op["op"] == "add", number + op["amount"]).otherwise(number * op["amount"])
+    there = status != "missing_unit"
     return F.struct(
-        status.alias("status"),
         F.when(status == "normalized", changed.cast("string")).otherwise(value).alias("value"),
         F.when(status.isin("missing_unit", "unmatched"), unit).otherwise(resolve_si_unit(si_unit, bare)).alias("unit"),
-        F.when(~blank, value).alias("original_value"),
-        F.when(~blank, bare).alias("original_unit"),
+        F.when(there, value).alias("original_value"),
+        F.when(there, bare).alias("original_unit"),
     )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tessera.functions.numeric import STATUSES, conversion, factor_operation
+from tessera.functions.numeric import STATUSES, conversion, conversion_status, factor_operation, safe_float
 from tessera.functions.text import strip
 
 #: Maps are dimension tables; one of more rows is joined without a broadcast.
@@ -37,11 +37,12 @@ def normalize_units(rows: DataFrame, entries: DataFrame, value: str = "value", u
     are rows of their own (see ``documents.value_objects``), so each is converted once.
     """
     table = small(conversion_map(entries, keep))
-    joined = rows.join(table, strip(unit) == F.col("key"), "left")
-    c = conversion(F.col(value), F.col(unit), F.col("key").isNotNull(), F.col("si_unit"), F.col("op"))
-    done = joined.withColumn("__c", c)
+    # What several results need is a column of its own, so that it is computed once.
+    joined = rows.withColumns({"__unit": strip(unit), "__number": safe_float(F.col(value))}).join(table, F.col("__unit") == F.col("key"), "left")
+    done = joined.withColumn("__status", conversion_status(F.col("__unit"), F.col("key").isNotNull(), F.col("op"), F.col("__number")))
+    c = conversion(F.col(value), F.col(unit), F.col("__unit"), F.col("si_unit"), F.col("op"), F.col("__number"), F.col("__status"))
     keep_cols = [F.col(x) for x in rows.columns if x not in (value, unit)]
-    return done.select(*keep_cols, F.col("__c.value").alias(value), F.col("__c.unit").alias(unit), F.col("__c.original_value").alias("original_value"), F.col("__c.original_unit").alias("original_unit"), F.col("__c.status").alias("status"))
+    return done.withColumn("__c", c).select(*keep_cols, F.col("__c.value").alias(value), F.col("__c.unit").alias(unit), F.col("__c.original_value").alias("original_value"), F.col("__c.original_unit").alias("original_unit"), F.col("__status").alias("status"))
 
 
 def unit_statistics(normalized: DataFrame) -> DataFrame:
