@@ -8,7 +8,7 @@ written table in the shared folder, so a lost executor costs one round at most.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tessera.session import discard, materialize
@@ -33,9 +33,11 @@ def _star(edges: DataFrame, large: bool, kept: list[str]) -> DataFrame:
     return out.where("u > v").distinct()
 
 
-def _digest(edges: DataFrame) -> tuple[int, int]:
-    row = edges.select(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
-    return row["n"], row["x"] or 0
+def _written(edges: DataFrame, kept: list[str]) -> tuple[DataFrame, tuple[int, int]]:
+    """The written edges, and their number and digest, which the write itself finds."""
+    seen = Observation()
+    edges = edges.observe(seen, F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x"))
+    return materialize(edges, "cc", kept), (seen.get["n"], seen.get["x"] or 0)
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 64) -> DataFrame:
@@ -48,16 +50,14 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     old: list[str] = []
     spark = edges.sparkSession
     pairs = edges.select(F.greatest(src, dst).alias("u"), F.least(src, dst).alias("v")).where("u > v").distinct()
-    now = materialize(pairs, "cc", kept)
-    seen = _digest(now)
+    now, seen = _written(pairs, kept)
     for _ in range(max_rounds):
         if seen[0] == 0:
             break
         old, kept = kept, []
         wide = materialize(_star(now, True, old), "cc", old)
-        now = materialize(_star(wide, False, old), "cc", kept)
+        now, new = _written(_star(wide, False, old), kept)
         discard(spark, old)
-        new = _digest(now)
         if new == seen:
             break
         seen = new
