@@ -38,8 +38,14 @@ def to_process(files: DataFrame, ledger: DataFrame, order: str, name: str = "fil
 
 
 def start_from(files: DataFrame, first: str, name: str = "file_name") -> DataFrame:
-    """Resume: files from a name on, in name order."""
-    return files.where(F.col(name) >= first)
+    """Resume: files in name order from the first one on whose name ends with ``first``; none where no name does."""
+    start = files.where(F.col(name).endswith(first)).agg(F.min(name)).first()[0]
+    return files.where(F.col(name) >= F.lit(start))
+
+
+def first_batch(rows: DataFrame, key: str, most: int = 200) -> DataFrame:
+    """The first rows in key order, as sent in one batch."""
+    return rows.orderBy(key).limit(most)
 
 
 def append_status(ledger: DataFrame, log: DataFrame, column: str) -> DataFrame:

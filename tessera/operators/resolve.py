@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.text import clean_name, squeeze
+from tessera.functions.text import clean_material_name, clean_name, squeeze
 from tessera.operators.components import connected_components
 from tessera.operators.documents import chunks
 from tessera.session import materialize
@@ -255,7 +255,7 @@ def product_codes(name: Column | str, case_preserving: bool = False) -> Column:
     """Sorted distinct tokens of four or more capitals and digits; on lower-cased names those are digits alone."""
     text = F.col(name) if isinstance(name, str) else name
     text = text if case_preserving else F.lower(text)
-    return F.array_sort(F.array_distinct(F.regexp_extract_all(text, F.lit(_CODE), F.lit(0))))
+    return F.sort_array(F.array_distinct(F.regexp_extract_all(text, F.lit(_CODE), F.lit(0))))
 
 
 def dopants(name: Column | str) -> Column:
@@ -313,6 +313,12 @@ def pick_canonical(members: DataFrame, component: str = "component", name: str =
     return best.select(component, clean_canonical(F.col("best.n")).alias("canonical_name"), "names")
 
 
+def raw_by_cleaned(rows: DataFrame, raw: str, order: str, clean: Callable[[str], Column] = clean_material_name) -> DataFrame:
+    """``cleaned, raw``: for each cleaned name the last raw name in a stated order; null names have no entry."""
+    named = rows.where(F.col(raw).isNotNull()).withColumn("__c", clean(raw))
+    return named.groupBy(F.col("__c").alias("cleaned")).agg(F.max_by(raw, order).alias("raw"))
+
+
 def resolve_names(records: DataFrame, vectorise: Callable[[DataFrame, str], DataFrame] = hashed_vectors, least: float = COSINE, k: int = NEIGHBOURS, fuzzy: float = FUZZY, case_preserving: bool = False) -> DataFrame:
     """Canonical names of ``doi, material_index, raw_name, formula, role`` records.
 

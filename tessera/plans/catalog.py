@@ -173,14 +173,41 @@ where coalesce(a.conc = b.conc, true) and coalesce(a.form = b.form, true) and co
 """)
 def hard_edge_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Concentration, formula, role, product code and dopant filters over candidate pairs: parts of one name and brand."""
-    from tessera.operators.resolve import compatible, features
+    from tessera.operators.resolve import filter_edges
 
     p = table(spark, sf_dir, "part")
     name = F.concat(F.col("p_size").cast("string"), F.lit(" M "), "p_name", F.when(F.expr("p_size % 3 = 0"), F.concat(F.lit(" "), F.expr("1000 + p_size % 5").cast("string"))).otherwise(""), F.when(F.expr("p_size % 4 = 0"), " n-doped").otherwise(""))
     rec = p.select(F.col("p_partkey").alias("id"), name.alias("cleaned_name"), F.when(F.expr("p_size % 5 <> 0"), F.col("p_brand")).alias("formula"), F.when(F.expr("p_size % 7 = 0"), "").otherwise(F.col("p_type")).alias("role"), F.concat_ws("|", "p_name", "p_brand").alias("k"))
-    f = features(rec)
-    pairs = f.alias("x").join(f.alias("y"), (F.col("x.k") == F.col("y.k")) & (F.col("x.id") < F.col("y.id")))
-    return pairs.where(compatible("x", "y")).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+    pairs = rec.alias("x").join(rec.alias("y"), (F.col("x.k") == F.col("y.k")) & (F.col("x.id") < F.col("y.id")))
+    return filter_edges(pairs.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")), rec, fuzzy=0.0)
+
+
+@query(f"""
+with recursive {_FUZZY_SQL},
+u as (select p_name as name, case when p_size % 3 = 0 then lower(p_brand) end as form, case when p_size % 5 = 0 then p_type end as part,
+  row_number() over (partition by p_name order by p_brand, p_partkey) as r from part),
+v as (select k.name, embedding::DOUBLE[] as v from (select p_name as name, min(p_partkey) as id from part group by 1) k join embeddings on vec_id = id),
+s as (select a.name as a, b.name as b, list_dot_product(a.v, b.v) as score from v a join v b on a.name <> b.name where list_dot_product(a.v, b.v) >= 0.05),
+t as (select *, row_number() over (partition by a order by score desc, b) as r from s),
+g as (select distinct least(a, b) as a, greatest(a, b) as b from t where r <= 9),
+e as (select g.a as x, g.b as y from g join f on f.a = g.a and f.b = g.b join u p on p.name = g.a and p.r = 1 join u q on q.name = g.b and q.r = 1
+  where ratio >= 50 and coalesce(p.form = q.form, true) and coalesce(p.part = q.part, true)),
+w as (select x, y from e union select y, x from e),
+c as (select name as x, name as root from n union select w.y, c.root from c join w on w.x = c.x),
+m as (select x as name, min(root) as root from c group by 1),
+h as (select root, first(name order by length(name), name) as canonical_name from m group by 1)
+select p_brand as doi, p_partkey as material_index, case when p_partkey % 2 = 0 then upper(p_name) else '  ' || p_name || '* ' end as raw_name, p_name as cleaned_name, canonical_name
+from part join m on name = p_name join h on h.root = m.root
+""")
+def names_resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entity resolution from raw names to canonical ones; the embeddings table lends each name a vector."""
+    from tessera.operators.resolve import resolve_names
+
+    p = table(spark, sf_dir, "part")
+    raw = F.when(F.expr("p_partkey % 2 = 0"), F.upper("p_name")).otherwise(F.concat(F.lit("  "), "p_name", F.lit("* ")))
+    rec = p.select(F.col("p_brand").alias("doi"), F.col("p_partkey").alias("material_index"), raw.alias("raw_name"), F.when(F.expr("p_size % 3 = 0"), F.col("p_brand")).alias("formula"), F.when(F.expr("p_size % 5 = 0"), F.col("p_type")).otherwise("").alias("role"))
+    vectors = p.groupBy(F.col("p_name").alias("id")).agg(F.min("p_partkey").alias("vec_id")).join(table(spark, sf_dir, "embeddings"), "vec_id").select("id", "embedding")
+    return resolve_names(rec, lambda names, _: names.join(vectors, "id"), least=0.05, k=10, fuzzy=50.0)
 
 
 # ---- units and properties ------------------------------------------------------------
@@ -332,6 +359,19 @@ def clean_name_v1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", clean_material_name(raw).alias("cleaned"))
 
 
+@query("""
+with r as (select p_partkey, case when p_size % 2 = 0 then upper(p_name) else p_name end || ' Film, coated (' || p_type || ')' as raw from part)
+select trim(regexp_replace(regexp_replace(regexp_replace(trim(lower(raw)),
+  '\\b(composite|electrode|as prepared|sample|film|coated|deposited|synthesized|fabricated|material)\\b', '', 'g'), '[^\\w\\s/-]', '', 'g'), '\\s+', ' ', 'g')) as cleaned, arg_max(raw, p_partkey) as raw from r group by 1
+""")
+def cleaned_back_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each cleaned name with the last raw name that it stands for."""
+    from tessera.operators.resolve import raw_by_cleaned
+
+    raw = F.concat(F.when(F.expr("p_size % 2 = 0"), F.upper("p_name")).otherwise(F.col("p_name")), F.lit(" Film, coated ("), "p_type", F.lit(")"))
+    return raw_by_cleaned(table(spark, sf_dir, "part").select("p_partkey", raw.alias("raw_name")), "raw_name", "p_partkey")
+
+
 @query("""
 select conv_id, turn, case turn % 3 when 0 then '{"turn": ' || turn || '}' when 1 then '{"a": {"b": ' || turn || '}}' else 'no json ' || turn end as reply from conversations
 """)
@@ -413,6 +453,24 @@ def _ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select("o_orderkey", doi.alias("doi"), s.alias("downloaded"), F.when(F.expr("o_orderkey % 5 <> 0"), s).alias("llm_processed"))
 
 
+@query("""
+with f as (select '10_' || o_orderkey || '.json' as file_name from orders)
+select file_name from f where file_name >= (select min(file_name) from f where ends_with(file_name, '77.json'))
+""")
+def ledger_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.operators.ledger import start_from
+
+    return start_from(table(spark, sf_dir, "orders").select(F.concat(F.lit("10_"), F.col("o_orderkey").cast("string"), F.lit(".json")).alias("file_name")), "77.json")
+
+
+@query(f"select '10/' || o_orderkey as doi from orders where {_STATUS_SQL} = 0 and o_orderkey % 17 <> 0 order by doi limit 200")
+def ledger_first_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 200 rows that are sent in one batch, in key order."""
+    from tessera.operators.ledger import first_batch, to_download
+
+    return first_batch(to_download(_ledger(spark, sf_dir)), "doi").select("doi")
+
+
 @query(f"select o_orderkey, '10/' || o_orderkey as doi from orders where {_STATUS_SQL} = 0 and o_orderkey % 17 <> 0")
 def ledger_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.operators.ledger import to_download

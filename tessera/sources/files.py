@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import posixpath
+import uuid
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -46,6 +51,40 @@ def write_documents(df: DataFrame, path: str, rel_path: str = "rel_path", text:
     df.withColumn("folder", folder).select("folder", rel_path, text).write.mode("overwrite").partitionBy("folder").parquet(path)
 
 
+def write_mirror(df: DataFrame, path: str, rel_path: str = "rel_path", text: str = "text") -> int:
+    """One file per document at ``path/rel_path``, as the source tree had them; returns how many were written.
+
+    ``path`` is a URI or absolute path that all executors reach.  A file is written beside its place and then moved
+    there, so lost and repeated tasks leave whole files only.  Relative paths must be distinct and stay below
+    ``path``; a null text is an empty file.  Where readers are Spark jobs, ``write_documents`` scales better.
+    """
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow.fs import FileSystem
+
+        system, root = FileSystem.from_uri(path)
+        for batch in batches:
+            for name, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                place = posixpath.normpath(name)
+                if place.startswith(("/", "..")) or place == ".":
+                    raise ValueError(f"no path below the folder: {name}")
+                target = f"{root}/{place}"
+                system.create_dir(posixpath.dirname(target), recursive=True)
+                beside = f"{posixpath.dirname(target)}/.{uuid.uuid4().hex}"
+                with system.open_output_stream(beside) as out:
+                    out.write((data or "").encode())
+                system.move(beside, target)
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
+
+    return df.select(rel_path, text).mapInArrow(write, "n long").agg({"n": "sum"}).first()[0] or 0
+
+
+def write_vocabulary(words: DataFrame, path: str, column: str) -> None:
+    """Distinct strings (see ``units.vocabulary``) as Parquet and, in order, as JSON lines."""
+    words.select(column).write.mode("overwrite").parquet(f"{path}/parquet")
+    words.sparkSession.read.schema(words.select(column).schema).parquet(f"{path}/parquet").orderBy(column).write.mode("overwrite").json(f"{path}/json")
+
+
 def write_report(df: DataFrame, path: str, column: str) -> None:
     """A side report: distinct values in order."""
     df.select(column).distinct().orderBy(column).coalesce(1).write.mode("overwrite").json(path)

@@ -6,10 +6,13 @@ tasks, so tests and offline runs inject their own.
 
 from __future__ import annotations
 
+import threading
 import time
 from collections import deque
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from queue import Empty, SimpleQueue
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -84,21 +87,24 @@ def register(spark: SparkSession, fetch: Callable, format_name: str = "literatur
 
 
 class SlidingWindowLimiter:
-    """At most ``rate`` calls in any window of ``window`` seconds, for one task."""
+    """At most ``rate`` calls in any window of ``window`` seconds, for the threads of one task."""
 
     def __init__(self, rate: int, window: float = 1.0, clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep):
         self.rate, self.window, self.clock, self.sleep = rate, window, clock, sleep
         self.calls: deque[float] = deque()
+        self.lock = threading.Lock()
 
     def acquire(self) -> None:
         while True:
-            now = self.clock()
-            while self.calls and now - self.calls[0] >= self.window:
-                self.calls.popleft()
-            if len(self.calls) < self.rate:
-                self.calls.append(now)
-                return
-            self.sleep(self.window - (now - self.calls[0]))
+            with self.lock:
+                now = self.clock()
+                while self.calls and now - self.calls[0] >= self.window:
+                    self.calls.popleft()
+                if len(self.calls) < self.rate:
+                    self.calls.append(now)
+                    return
+                pause = self.window - (now - self.calls[0])
+            self.sleep(pause)
 
 
 class Throttled(Exception):
@@ -126,32 +132,59 @@ def with_retries(call: Callable[[], object], attempts: int = 3, sleep: Callable[
     return None, error
 
 
-def fetch_all(keys: DataFrame, fetch: Callable[[str], str], key: str = "doi", rate: int = 8, tasks: int = 1, attempts: int = 3, sleep: Callable[[float], None] = time.sleep) -> DataFrame:
+def within(call: Callable[[], object], seconds: float | None) -> object:
+    """The result of a call, or TimeoutError if it takes longer; a call that is given up runs on in a thread of its own."""
+    if seconds is None:
+        return call()
+    replies: SimpleQueue = SimpleQueue()
+
+    def run() -> None:
+        try:
+            replies.put((call(), None))
+        except BaseException as e:  # noqa: BLE001
+            replies.put((None, e))
+
+    threading.Thread(target=run, daemon=True).start()
+    try:
+        result, error = replies.get(timeout=seconds)
+    except Empty:
+        raise TimeoutError(f"no reply in {seconds:g} s") from None
+    if error is not None:
+        raise error
+    return result
+
+
+def fetch_all(keys: DataFrame, fetch: Callable[[str], str], key: str = "doi", rate: int = 8, tasks: int = 1, attempts: int = 3, sleep: Callable[[float], None] = time.sleep, workers: int = 10, timeout: float | None = 180.0) -> DataFrame:
     """``key, body, status, error`` of one fetch per key: 1 fetched, 2 failed, 3 throttled or timed out.
 
-    ``tasks`` tasks share the rate: each keeps its own sliding window, longer than a second where there are more tasks than calls.
+    Each task fetches with ``workers`` threads, and gives a try up after ``timeout`` seconds (None: never).
+
+    ``tasks`` tasks share the rate: each keeps its own sliding window, longer than a second where there are more tasks than calls.  Every try counts.
     """
     share = max(1, rate // tasks)
     window = share * tasks / rate
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         limiter = SlidingWindowLimiter(share, window)
-        for part in parts:
-            out = []
-            for k in part[key]:
+
+        def one(k: str) -> tuple:
+            seen: list[BaseException] = []
+
+            def call() -> object:
                 limiter.acquire()
-                seen: list[BaseException] = []
-
-                def call(k: str = k, seen: list = seen) -> str:
-                    try:
-                        return fetch(k)
-                    except (Throttled, TimeoutError) as e:
-                        seen.append(e)
-                        raise
-
-                body, error = with_retries(call, attempts, sleep)
-                out.append((k, body, 1 if error is None else 3 if seen else 2, error))
-            yield pd.DataFrame(out, columns=[key, "body", "status", "error"])
+                try:
+                    return within(lambda: fetch(k), timeout)
+                except (Throttled, TimeoutError) as e:
+                    seen.append(e)
+                    raise
+
+            body, error = with_retries(call, attempts, sleep)
+            return k, body, 1 if error is None else 3 if seen else 2, error
+
+        with ThreadPoolExecutor(workers) as pool:
+            for part in parts:
+                for at in range(0, len(part), 64 * workers):
+                    yield pd.DataFrame(pool.map(one, part[key].iloc[at : at + 64 * workers]), columns=[key, "body", "status", "error"])
 
     return keys.select(key).repartition(tasks).mapInPandas(run, f"{key} string, body string, status int, error string")
 

@@ -90,8 +90,13 @@ def test_resolve_si_unit(spark):
 
 
 def test_sql_functions(spark):
-    from tessera.functions.registry import register
+    from tessera.functions.registry import COLUMN_FUNCTIONS, register
 
     assert "uid" in register(spark)
     row = spark.sql("select doi_to_file('a/b') f, cosine_similarity(array(1D, 0D), array(2D, 0D)) c, cosine_similarity(array(0D), array(1D)) z").first()
     assert (row["f"], row["c"], row["z"]) == ("a_b", 1.0, None)
+    values = ["5 mM  LiPF6 (salt)", " Film 3 M A123 B-doped ", "1_000", "add 2.5", "```json {\"a\": 1} ```", "Binder: x\\y 'q'", "", None]
+    df = spark.createDataFrame([(v,) for v in values], "s string")
+    for name, function in COLUMN_FUNCTIONS.items():
+        rows = df.select(F.expr(f"{name}(s)").alias("sql"), function("s").alias("column")).collect()
+        assert [r["sql"] for r in rows] == [r["column"] for r in rows], name

@@ -1,4 +1,7 @@
 import json
+import time
+
+import pytest
 
 from tessera.sources import files, harvest, xml_docs
 from tessera.streaming import incremental
@@ -117,6 +120,11 @@ def test_fetches(spark):
 
     out = harvest.fetch_all(spark.createDataFrame([("a",), ("bad",), ("slow",)], "doi string"), fetch, rate=100, attempts=1)
     assert {r["doi"]: (r["body"], r["status"]) for r in out.collect()} == {"a": ("<a>", 1), "bad": (None, 2), "slow": (None, 3)}
+    keys = spark.createDataFrame([(str(i),) for i in range(20)], "doi string")
+    started = time.monotonic()
+    out = harvest.fetch_all(keys, lambda k: time.sleep(30 if k == "7" else 0.3) or k, rate=1000, attempts=1, workers=20, timeout=2.0).collect()
+    assert time.monotonic() - started < 15
+    assert {r["doi"]: r["status"] for r in out} == {str(i): 3 if i == 7 else 1 for i in range(20)}
     details = harvest.fetch_details(spark.createDataFrame([("1",), ("2",)], "eid string"), lambda k: {"title": "t", "authors": ["a", None, "b"], "abstract": "z"} if k == "1" else {}[k])
     got = {r["eid"]: r for r in details.collect()}
     assert got["1"]["authors"] == "a; b" and got["1"]["author_count"] == 2 and got["1"]["abstract"] == "z" and got["2"]["error"]
@@ -127,6 +135,16 @@ def test_lines_and_documents(spark, tmp_path):
     assert [(r["line"], r["value"]) for r in files.read_lines(spark, str(tmp_path / "x.jsonl")).orderBy("line").collect()] == [(1, '{"a":1}'), (2, ""), (3, '{"a":2}')]
     files.write_documents(spark.createDataFrame([("p/a.json", "1"), ("b.json", "2")], "rel_path string, text string"), str(tmp_path / "out"))
     assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+    mirror = spark.createDataFrame([("p/q/a.json", "{\"a\": 1}"), ("b.json", None)], "rel_path string, text string")
+    for _ in range(2):
+        assert files.write_mirror(mirror, f"file://{tmp_path}/mirror") == 2
+    assert {str(f.relative_to(tmp_path / "mirror")): f.read_text() for f in (tmp_path / "mirror").rglob("*") if f.is_file()} == {"p/q/a.json": '{"a": 1}', "b.json": ""}
+    assert files.write_mirror(mirror.limit(0), f"file://{tmp_path}/mirror") == 0
+    with pytest.raises(Exception, match="no path below"):
+        files.write_mirror(spark.createDataFrame([("../a", "")], "rel_path string, text string"), f"file://{tmp_path}/mirror")
+    files.write_vocabulary(spark.createDataFrame([("b",), ("a",)], "unit string"), str(tmp_path / "words"), "unit")
+    assert [r["unit"] for r in spark.read.json(str(tmp_path / "words" / "json")).collect()] == ["a", "b"]
+    assert spark.read.parquet(str(tmp_path / "words" / "parquet")).count() == 2
 
 
 def test_incremental_runs(spark, tmp_path):
