@@ -3,6 +3,7 @@ import json
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,6 +12,7 @@ from tessera.operators import graph as G
 from tessera.operators import ledger as L
 from tessera.operators import resolve as R
 from tessera.operators import units as U
+from tessera.operators import components
 from tessera.operators.components import connected_components
 from tessera.operators.vector import top_k
 from tessera.schemas import PROPERTY_MAP, UNIT_CONVERSION
@@ -43,6 +45,34 @@ def test_components_match_brute_force(spark):
     assert got == brute_components(edges)
 
 
+def test_components_of_names_over_many_tasks(spark):
+    rng = random.Random(4)
+    names = [f"{w}{i}" for i in range(60) for w in ("a", "é", "\U0001F600")]
+    edges = [(a, b) for a, b in ((rng.choice(names), rng.choice(names)) for _ in range(150)) if a != b]
+    edges += [("hub", f"leaf {i}") for i in range(200)] + [(f"p{i:03}", f"p{i + 1:03}") for i in range(200)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = connected_components(spark.createDataFrame(edges, "src string, dst string")).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(got) == len({r["id"] for r in got})
+    assert {r["id"]: r["component"] for r in got} == brute_components(edges)
+
+
+def test_edges_fold_into_stars_block_by_block(monkeypatch):
+    rng = random.Random(5)
+    for block, span in ((8, 30), (8, 300), (1 << 20, 60)):
+        monkeypatch.setattr(components, "BLOCK", block)
+        edges = [(rng.randrange(span), rng.randrange(span)) for _ in range(90)]
+        edges = [(max(e), min(e)) for e in edges if e[0] != e[1]]
+        batches = [pa.RecordBatch.from_pydict({"u": [u for u, _ in edges[i : i + 3]], "v": [v for _, v in edges[i : i + 3]]}) for i in range(0, len(edges), 3)]
+        out = [(r["u"], r["v"]) for b in components._contract(iter(batches)) for r in b.to_pylist()]
+        assert all(u > v for u, v in out) and len(out) <= len(edges)
+        assert brute_components(out) == brute_components(edges)
+        if block > 8:
+            assert dict(out) == {x: r for x, r in brute_components(edges).items() if x != r}
+
+
 def test_components_of_nothing(spark):
     assert connected_components(spark.createDataFrame([], "src long, dst long")).count() == 0
 
