@@ -805,3 +805,250 @@ def attribute_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
     best = part.groupBy(F.col("p_partkey").alias("part")).agg(F.max("p_size").alias("size")).where("size % 2 = 0")
     return set_attribute(nodes, best.union(best), "part", "size")
+
+
+# ---- replies, records, lists --------------------------------------------------------
+
+_REPLIED_SQL = "r as (select c_custkey // 10 as batch, c_name as name, case when c_custkey % 7 <> 0 then upper(c_name) end as canon, c_custkey % 2 = 0 as el, case when c_custkey % 7 = 0 then 'broken reply' end as error from customer where c_custkey % 3 <> 0)"
+
+
+def _requested(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Customers in batches of ten names, and a model's replies: every third name is left out, every seventh is an error."""
+    c = table(spark, sf_dir, "customer").withColumns({"batch": F.expr("c_custkey div 10"), "name": F.col("c_name")})
+    canon = F.when(F.expr("c_custkey % 7 <> 0"), F.upper("c_name")).alias("canonical_name")
+    error = F.when(F.expr("c_custkey % 7 = 0"), F.lit("broken reply")).alias("error")
+    return c.select("batch", "name"), c.where("c_custkey % 3 <> 0").select("batch", "name", canon, F.expr("c_custkey % 2 = 0").alias("electrolyte"), error)
+
+
+@query(f"""with {_REPLIED_SQL}
+select c_custkey // 10 as batch, c_name as name, coalesce(canon, c_name) as canonical_name, coalesce(el, false) as electrolyte, error, canon is null as missing
+from customer left join r on r.batch = c_custkey // 10 and r.name = c_name""")
+def replies_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requested names with what came back; a missing or failed reply falls back to the name."""
+    from tessera.operators.ledger import reply_join
+
+    return reply_join(*_requested(spark, sf_dir))
+
+
+@query("select c_custkey // 10 as batch, c_name as name from customer where c_custkey % 3 = 0")
+def replies_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.operators.ledger import missing_names
+
+    return missing_names(*_requested(spark, sf_dir))
+
+
+@query(f"""with {_REPLIED_SQL}
+select o_orderkey, coalesce(canon, c_name) as name, c_name as original_name, coalesce(el, false) as electrolyte
+from orders left join customer on c_custkey = o_custkey left join r on r.name = c_name""")
+def names_applied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Canonical names written back to the rows that carry the old ones."""
+    from tessera.operators.ledger import apply_names
+
+    rows = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_name").alias("name")), "o_custkey", "left")
+    return apply_names(rows.select("o_orderkey", "name"), _requested(spark, sf_dir)[1])
+
+
+@query("""
+select 'e' || o_orderkey as eid, case when o_orderkey % 6 <> 0 then '10/' || o_orderkey end as doi, case when o_orderkey % 5 <> 0 then o_orderkey % 5 else 0 end::bigint as citedby_count,
+  case when o_orderkey % 4 <> 0 then '1' else '0' end as open_access from orders
+""")
+def search_records_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of search results, a page a customer, as rows; missing and broken fields take their defaults."""
+    from tessera.operators.ledger import search_records
+
+    key = F.col("o_orderkey")
+    entry = F.to_json(F.struct(
+        F.concat(F.lit("e"), key).alias("eid"), F.when(key % 6 != 0, F.concat(F.lit("10/"), key)).alias("prism:doi"),
+        F.when(key % 5 != 0, (key % 5).cast("string")).otherwise("n/a").alias("citedby-count"), F.when(key % 4 != 0, F.lit("1")).alias("openaccess"),
+    ))
+    pages = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.concat(F.lit("["), F.array_join(F.collect_list(entry), ","), F.lit("]")).alias("entries"))
+    return search_records(pages).select("eid", "doi", "citedby_count", "open_access")
+
+
+@query("""
+with n as (select c_nationkey, list(c_name order by c_custkey) filter (c_custkey % 5 <> 0) as l from customer group by 1)
+select c_nationkey, coalesce(array_to_string(l[1:10], '; '), '') as authors, coalesce(len(l), 0)::int as author_count from n
+""")
+def author_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first ten names joined and all of them counted; empty names do not count."""
+    from tessera.operators.ledger import authors
+
+    name = F.when(F.expr("c_custkey % 5 = 0"), F.when(F.expr("c_custkey % 2 = 0"), F.lit(""))).otherwise(F.col("c_name"))
+    c = table(spark, sf_dir, "customer").groupBy("c_nationkey").agg(F.array_sort(F.collect_list(F.struct("c_custkey", name.alias("name")))).alias("l"))
+    return c.select("c_nationkey", authors(F.transform("l", lambda x: x["name"])).alias("a")).select("c_nationkey", "a.*")
+
+
+@query("""
+select c_custkey, case c_custkey % 4 when 0 then 'd ' || c_name when 1 then null when 2 then 'a ' || c_name end as abstract from customer
+""")
+def record_abstract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A record's description where it has that field, null or not; else its abstract."""
+    from tessera.operators import ledger
+
+    text = lambda p: F.concat(F.lit(f'"{p} '), "c_name", F.lit('"'))
+    described = F.when(F.expr("c_custkey % 4 = 0"), F.concat(F.lit('{"dc:description": '), text("d"), F.lit(', "abstract": '), text("a"), F.lit("}")))
+    described = described.when(F.expr("c_custkey % 4 = 1"), F.concat(F.lit('{"dc:description": null, "abstract": '), text("a"), F.lit("}")))
+    described = described.when(F.expr("c_custkey % 4 = 2"), F.concat(F.lit('{"abstract": '), text("a"), F.lit("}"))).otherwise(F.lit("{}"))
+    return table(spark, sf_dir, "customer").select("c_custkey", F.try_parse_json(described).alias("r")).select("c_custkey", ledger.abstract(F.col("r")).alias("abstract"))
+
+
+@query("select l_orderkey, l_returnflag || ' x' as value, min(l_linenumber) as pos from lineitem group by all")
+def lists_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ordered lists whose strings are normalised; of those that fall together the first stays."""
+    from tessera.operators.documents import normalize_lists
+
+    blank = F.when(F.expr("l_linenumber % 2 = 0"), F.lit("  x ")).otherwise(F.lit("  x"))
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", F.concat("l_returnflag", blank).alias("value"), F.col("l_linenumber").alias("pos"))
+    return normalize_lists(rows, ["l_orderkey"])
+
+
+@query("""
+select p_partkey, 'Material: ' || p_name || ' Original name: ' || case when p_partkey % 3 = 0 then 'None' else p_brand end || ' Role: ' || p_type ||
+  case when p_partkey % 2 = 0 then ' Morphology: m' || p_size else '' end || case when p_partkey % 5 <> 0 then ' Synthesis methods: a, ' || p_brand else '' end ||
+  ' Key properties: size: ' || p_size || ' None, price: None EUR' as text from part
+""")
+def profile_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One line that describes a material; empty parts are left out."""
+    from tessera.functions.text import profile_text
+
+    none = F.lit(None).cast("string")
+    prop = lambda name, value, unit: F.struct(F.lit(name).alias("name"), value.alias("value"), unit.alias("unit"))
+    text = profile_text(
+        F.col("p_name"), F.when(F.expr("p_partkey % 3 <> 0"), F.col("p_brand")), F.col("p_type"), F.when(F.expr("p_partkey % 2 = 0"), F.concat(F.lit("m"), "p_size")),
+        F.when(F.expr("p_partkey % 5 <> 0"), F.array(F.lit("a"), "p_brand")).otherwise(F.array().cast("array<string>")), F.array().cast("array<string>"),
+        F.array(prop("size", F.col("p_size").cast("string"), none), prop("price", none, F.lit("EUR"))),
+    )
+    return table(spark, sf_dir, "part").select("p_partkey", text.alias("text"))
+
+
+@query("select l_orderkey::varchar as file_path, unnest(['u' || l_suppkey % 5, 'deep']) as unit from lineitem")
+def units_walked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every unit at any depth; blank units and units that are no text do not count."""
+    from tessera.operators.documents import every_unit
+
+    u = F.concat(F.lit('{"a": [[{"unit": " u'), F.col("l_suppkey") % 5, F.lit(' "}], {"unit": 5}], "unit": {"b": {"unit": "deep", "c": [{"unit": " "}]}}}'))
+    docs = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").cast("string").alias("file_path")).agg(F.concat(F.lit("["), F.array_join(F.collect_list(u), ","), F.lit("]")).alias("text"))
+    return every_unit(docs)
+
+
+@query("select o_orderkey, 'mat-' || substr(sha256(o_orderkey || '|' || coalesce(case when o_orderkey % 3 <> 0 then o_orderstatus end, '')), 1, 16) as id from orders")
+def row_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids that name a row: the same at every run, nulls included."""
+    from tessera.operators.documents import uid
+
+    return table(spark, sf_dir, "orders").select("o_orderkey", uid("mat", "o_orderkey", F.when(F.expr("o_orderkey % 3 <> 0"), F.col("o_orderstatus"))).alias("id"))
+
+
+# ---- sources and sinks ----------------------------------------------------------------
+
+
+def _nation_files(spark: SparkSession, sf_dir: str) -> str:
+    """The nations as a tree of JSON files, a folder a region; every fifth one is broken."""
+    from tessera.session import new_path
+    from tessera.sources.files import write_mirror
+
+    path = new_path(spark, "nations")
+    good = F.concat(F.lit('{"name": "'), "n_name", F.lit('"}'))
+    text = F.when(F.expr("n_nationkey % 5 = 0"), F.lit('{"name": ')).otherwise(good)
+    rel = F.concat(F.lit("r"), F.col("n_regionkey"), F.lit("/n"), F.col("n_nationkey"), F.lit(".json"))
+    write_mirror(table(spark, sf_dir, "nation").select(rel.alias("rel_path"), text.alias("text")), path)
+    return path
+
+
+@query("select 'r' || n_regionkey || '/n' || n_nationkey || '.json' as file, case when n_nationkey % 5 <> 0 then n_name end as name from nation")
+def json_tree_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file per document in a tree of folders, read back; files that are no JSON are quarantined (a null name)."""
+    from tessera.operators.documents import bad, good, read_json_dir
+
+    scanned = read_json_dir(spark, _nation_files(spark, sf_dir), recursive=True)
+    file = F.substring_index("file_path", "/", -2).alias("file")
+    name = F.try_variant_get("doc", "$.name", "string").alias("name")
+    return good(scanned).select(file, name).union(bad(scanned).select(file, F.lit(None).cast("string")))
+
+
+@query("select 'n' || n_nationkey || '.json' as file, case when n_nationkey % 5 = 0 then 2 else 1 end as status from nation")
+def incremental_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files processed once by a stream that ends when nothing is new; the log says which failed."""
+    from tessera.session import new_path
+    from tessera.streaming import incremental
+
+    path, done = _nation_files(spark, sf_dir), new_path(spark, "incremental")
+    work = lambda df: df.where(F.try_parse_json("value").isNotNull())
+    for _ in range(2):  # the second run finds nothing new
+        incremental.process_new(incremental.stream_texts(spark, path), work, f"{done}/out", f"{done}/log", f"{done}/checkpoint").awaitTermination()
+    return incremental.latest_status(spark, f"{done}/log").select(F.substring_index("file_path", "/", -1).alias("file"), "status")
+
+
+@query("select o_orderkey, o_orderstatus, round(o_totalprice, 2) as price from orders")
+def jsonl_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows written as JSON lines and read back under their schema."""
+    from tessera.session import new_path
+    from tessera.sources.files import read_jsonl, write_jsonl
+
+    path = new_path(spark, "jsonl")
+    write_jsonl(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", F.round("o_totalprice", 2).alias("price")), path)
+    return read_jsonl(spark, path, "o_orderkey bigint, o_orderstatus string, price double")
+
+
+@query(f"select case when o_orderkey % 17 <> 0 then '10/' || o_orderkey end as doi, {_STATUS_SQL}::int as downloaded from orders")
+def ledger_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A ledger written as CSV and read back; empty fields are null."""
+    from tessera.session import new_path
+    from tessera.sources.files import read_ledger, write_csv
+
+    path = new_path(spark, "ledger")
+    write_csv(_ledger(spark, sf_dir).select("doi", "downloaded", "llm_processed", F.lit(None).cast("string").alias("cover_date")), path)
+    return read_ledger(spark, path).select("doi", "downloaded")
+
+
+@query("select n_name || '-' || i as eid, i % 3 as citedby_count from (select n_name, unnest(range(0, least(n_nationkey * 7, 60)::bigint)) as i from nation)")
+def harvested_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A search per nation, paged by cursor and cut at 60 records; the service is a function."""
+    from tessera.sources import harvest
+
+    sizes = {r["n_name"]: r["n_nationkey"] * 7 for r in table(spark, sf_dir, "nation").select("n_name", "n_nationkey").collect()}
+
+    def fetch(q: str, cursor: str, count: int) -> tuple:
+        at = 0 if cursor == "*" else int(cursor)
+        end = min(at + count, sizes[q])
+        return 200, [{"eid": f"{q}-{i}", "citedby-count": str(i % 3)} for i in range(at, end)], str(end) if end < sizes[q] else None
+
+    harvest.register(spark, fetch, "nation_search")
+    found = spark.read.format("nation_search").option("queries", "\n".join(sizes)).option("max_results", 60).load()
+    return found.select("eid", "citedby_count")
+
+
+@query("""
+select c_name as doi, case when c_custkey % 4 <> 0 then 'body of ' || c_name end as body, case when c_custkey % 4 <> 0 then 1 when c_custkey % 8 = 0 then 3 else 2 end as status from customer
+""")
+def fetched_with_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rate-limited, retried fetches by threads: what came, what was refused and what was throttled to the end."""
+    from tessera.sources import harvest
+
+    def fetch(k: str) -> str:
+        n = int(k.rsplit("#", 1)[1])
+        if n % 8 == 0:
+            raise harvest.Throttled("slow down")
+        if n % 4 == 0:
+            raise harvest.Refused("no")
+        return f"body of {k}"
+
+    keys = table(spark, sf_dir, "customer").select(F.col("c_name").alias("doi"))
+    return harvest.fetch_all(keys, fetch, rate=1_000_000, tasks=4, sleep=lambda _: None, timeout=None).select("doi", "body", "status")
+
+
+@query("""
+select c_name as eid, case when c_custkey % 4 <> 0 then 't' || c_custkey end as title, case when c_custkey % 4 <> 0 then 2 end as author_count, case when c_custkey % 4 = 0 then 'ValueError: no record' end as error from customer
+""")
+def details_fetched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Detail records by id; a failed one is a row with its error."""
+    from tessera.sources import harvest
+
+    def fetch(k: str) -> dict:
+        n = int(k.rsplit("#", 1)[1])
+        if n % 4 == 0:
+            raise ValueError("no record")
+        return {"title": f"t{n}", "authors": ["A", "", None, "B"]}
+
+    found = harvest.fetch_details(table(spark, sf_dir, "customer").select(F.col("c_name").alias("eid")), fetch)
+    return found.select("eid", "title", "author_count", "error")
