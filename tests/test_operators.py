@@ -387,6 +387,28 @@ def test_graph(docs):
     assert list(text.values()) == ["Material: NiO Original name: NiO Role: active_material Morphology: nanosheet Synthesis methods: annealing, hydrothermal Precursors: KOH (activator) Key properties: specific_capacitance: 300 F g-1, energy_density: {\"min\":1} Wh/kg"]
 
 
+def test_edges_of_documents_alone_need_no_shuffle(spark):
+    def doc(doi, k):
+        step = {"method": f"m{k % 3}", "precursors": ["KOH (base)", "KOH", f"P{k}", "", None], "parameters": [{"parameter_name": "t", "value": k}]}
+        conds = [{"condition_name": "electrolyte", "value": v} for v in ["1 M KOH", "1 M KOH", f"{k} M KOH"][: k % 4]] + [{"condition_name": "scan rate", "value": 5}]
+        mats = [{"name": "a", "morphology": f"n{k % 2}", "synthesis_route": route, "performance_and_properties": [{"property_name": "q", "value": 1, "test_conditions": conds}] * 2} for route in (step, [step] * (k % 3), [step, None, step], None)]
+        return (f"/x/{k}.json", json.dumps({"metadata": {"doi": doi, "title": "T"}, "materials": mats}))
+
+    def rows(df):
+        return sorted(tuple(r) for r in df.collect())
+
+    alone = [doc(f"d{k}", k) for k in range(7)]
+    again = [doc("d1", 8), doc("twice", 9), doc("twice", 10), doc("twice", 9)]
+    for texts in (alone, alone + again, again + [doc("", 11), (None, doc("", 12)[1])]):
+        docs = D.extraction(spark.createDataFrame(texts, "file_path string, text string"))
+        g, want = G.build_graph(docs), G._edges(docs, D.steps(docs), False)
+        for name, df in want.items():
+            assert rows(g[name]) == rows(df) and df.count(), name
+    g = G.build_graph(D.extraction(spark.createDataFrame(alone, "file_path string, text string")))
+    for name in ("PRODUCED_BY", "NEXT_STEP", "USES_METHOD", "USES_PRECURSOR", "HAS_PARAMETER", "EXHIBITS_PROPERTY", "MEASURED_UNDER", "HAS_MORPHOLOGY"):
+        assert "Exchange" not in g[name]._jdf.queryExecution().executedPlan().toString(), name
+
+
 def test_merge_first_and_last(spark):
     rows = spark.createDataFrame([("k", 1, "a", "x"), ("k", 2, "b", "y"), (None, 3, "c", "z")], "k string, o int, f string, l string")
     assert [tuple(r) for r in G.merge_nodes(rows, "k", F.col("o"), ["f"], ["l"]).collect()] == [("k", "a", "y")]
